@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from entry_queries.enriched import STATE, enriched_sql
 from entry_queries.tables import registry_ctes, registry_tables, table
-from regweave.plans.jobs import build, stage
+from regweave.plans.jobs import build, run_together, stage
 from regweave.schemas import DATASETS, ENRICHED_SCHEMA, text_schema
 from regweave.sinks.tables import export_csv, export_single_csv, write_table, write_table_once
 from regweave.sources.archives import audit_archives, list_archives, read_zipped, storage_of
@@ -65,16 +65,21 @@ def single_csv_export(spark, sf_dir):
 
 def _write_raw_release(spark: SparkSession, sf_dir: str, root: str) -> RawRelease:
     """Raw files shaped like the publisher's: families cut into numbered directories."""
-    for name, df in registry_tables(spark, sf_dir).items():
-        dataset = DATASETS[name]
+    found = registry_tables(spark, sf_dir)
+
+    def write(name: str) -> None:
+        df, dataset = found[name], DATASETS[name]
         if dataset.prefix is None:
             df.write.option("header", "true").option("escape", '"').csv(f"{root}/{name}")
         elif dataset.split:
+            half = F.pmod(F.xxhash64("cnpj_basico"), F.lit(2))
             for number in range(2):
-                share = df.filter(F.pmod(F.xxhash64("cnpj_basico"), F.lit(2)) == number)
+                share = df.filter(half == number)
                 share.write.options(**_RAW_OPTIONS).csv(f"{root}/{dataset.prefix}{number}")
         else:
             df.write.options(**_RAW_OPTIONS).csv(f"{root}/{dataset.prefix}")
+
+    run_together(spark, write, list(found))
     return RawRelease(root=root, state_registry=f"{root}/jucees")
 
 

@@ -16,7 +16,7 @@ def _key(column: str) -> str:
 
 
 def _ymd(column: str) -> str:
-    return f"replace(cast(cast({column} as date) as string), '-', '')"
+    return f"cast(year({column}) * 10000 + month({column}) * 100 + day({column}) as string)"
 
 
 _CHECK_DIGIT = (

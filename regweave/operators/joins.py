@@ -2,16 +2,17 @@
 
 Each join picks one of two ways:
 
-* The right side is small by the optimizer's own size estimate (the same estimate and
-  the same ``spark.sql.autoBroadcastJoinThreshold`` Spark uses): leave it to Spark,
-  which broadcasts it. The left side is not shuffled, so its skew does not matter.
+* The right side is small. The optimizer's estimate has to be under the session's
+  ``spark.sql.autoBroadcastJoinThreshold``, as for Spark itself. File sizes say little
+  about repetitive data, though, so the rows are also measured, which is cheap for files
+  that small. Spark then broadcasts this side. The left side is not shuffled, so its skew
+  does not matter.
 * Otherwise both sides are shuffled, and keys that would overload one task are spread
-  first. One pass over the key columns with the built-in ``approx_top_k`` sketch finds
-  the keys with more rows than a few average partitions. There are fewer of those than
-  shuffle partitions, whatever the data size. A row of such a key goes to one of several
-  buckets and the rows it has to meet are repeated in each of them. All other keys keep
-  a single bucket. No row is dropped, and without such keys the plan is Spark's plain
-  join.
+  first. A count over the key column alone finds the keys with more rows than a few
+  average shuffle partitions; there are fewer of those than partitions, whatever the data
+  size. A row of such a key goes to one of several buckets, and the rows it has to meet
+  are repeated in each of them. All other keys keep a single bucket. No row is dropped,
+  and without such keys the plan is Spark's plain join.
 """
 
 from __future__ import annotations
@@ -27,16 +28,24 @@ from pyspark.sql import types as T
 
 # A key is spread when it holds more rows than this many average shuffle partitions.
 HOT_PARTITIONS = 4
-_SKETCH_FLOOR = 10_000
-_SKETCH_LIMIT = 1_000_000
+# Rows in memory may take this many times the broadcast threshold, which is meant for
+# compressed files.
+BROADCAST_EXPANSION = 8
 
 
 @dataclass
 class Right:
-    """Right side of a left join. ``unique`` says the key is unique by construction."""
+    """Right side of a left join.
+
+    ``unique`` says the key is unique by construction. ``bound`` is a table that cannot
+    be smaller than ``df`` and is cheaper to measure, such as the input of an aggregate.
+    ``small`` says that ``df`` can be broadcast (None = not measured yet).
+    """
 
     df: DataFrame
     unique: bool = False
+    bound: DataFrame | None = None
+    small: bool | None = None
 
 
 def _shuffle_partitions(spark: SparkSession) -> int:
@@ -50,33 +59,49 @@ def _broadcast_limit(spark: SparkSession) -> int:
     return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate allows Spark to broadcast ``df``."""
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(estimate) <= _broadcast_limit(df.sparkSession)
+def _row_bytes(df: DataFrame) -> Column:
+    """Payload bytes of a row: 8 per column plus the text."""
+    text = [
+        F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+        for f in df.schema
+        if isinstance(f.dataType, T.StringType)
+    ]
+    return reduce(Column.__add__, text, F.lit(8 * len(df.columns))).cast("bigint")
+
+
+def measure(rights: Sequence[Right]) -> None:
+    """Decide for all ``rights`` whether they can be broadcast, in one Spark job."""
+    candidates = []
+    for right in rights:
+        if right.small is None:
+            estimate = int(right.df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+            right.small = estimate <= _broadcast_limit(right.df.sparkSession)
+            if right.small:
+                candidates.append(right)
+    if not candidates:
+        return
+    measured = [right.df if right.bound is None else right.bound for right in candidates]
+    sizes = [
+        df.agg(F.lit(i).alias("i"), F.sum(_row_bytes(df)).alias("bytes"))
+        for i, df in enumerate(measured)
+    ]
+    limit = BROADCAST_EXPANSION * _broadcast_limit(measured[0].sparkSession)
+    for i, size in reduce(DataFrame.unionAll, sizes).collect():
+        candidates[i].small = (size or 0) <= limit
 
 
 def hot_keys(df: DataFrame, key: str) -> dict[object, int]:
     """Overloaded keys and the number of buckets each one needs (None = NULL key).
 
-    The driver receives at most one entry per few shuffle partitions.
+    The driver receives fewer rows than there are shuffle partitions.
     """
     partitions = _shuffle_partitions(df.sparkSession)
-    most = max(1, partitions // HOT_PARTITIONS)
-    # The sketch keeps every key whose share exceeds a few times 1 / tracked.
-    tracked = min(_SKETCH_LIMIT, max(_SKETCH_FLOOR, 16 * partitions))
-    quoted = "`" + key.replace("`", "``") + "`"
-    row = df.agg(
-        F.expr(f"approx_top_k({quoted}, {min(most, tracked)}, {tracked})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
-    ).first()
-    if not row.n:
-        return {}
-    average = row.n / partitions
+    total = df.agg(F.count(F.lit(1))).scalar()
+    counts = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    load = counts.select("key", (F.col("n") * partitions / total).alias("load"))
     return {
-        item["item"]: max(2, math.ceil(item["count"] / average))
-        for item in row.top
-        if item["count"] > HOT_PARTITIONS * average
+        row.key: math.ceil(row.load)
+        for row in load.filter(F.col("load") > HOT_PARTITIONS).collect()
     }
 
 
@@ -141,8 +166,9 @@ def left_join(
     distribution of the left side. ``sketch_on`` is a cheaper table with the left side's
     keys, for when ``left`` itself is the result of earlier joins.
     """
-    small = [right for right in rights if fits_broadcast(right.df)]
-    large = [right for right in rights if not any(right is other for other in small)]
+    measure(rights)
+    small = [right for right in rights if right.small]
+    large = [right for right in rights if not right.small]
     result = left
     if large:
         result = _shuffled_left_join(left, key, large, left if sketch_on is None else sketch_on)
@@ -165,14 +191,14 @@ def _shuffled_left_join(
     ]
     cuts = [i for i, side in enumerate(sides) if side]
     if not cuts:
-        return reduce(lambda df, right: df.join(right.df, key, "left"), rights, left)
+        return reduce(lambda df, right: df.join(right.df.hint("merge"), key, "left"), rights, left)
 
     table = _bucket_table(left, key, sides)
     on = [key] + [f"_b{cut}" for cut in cuts]
     joined = _bucketed(left, key, table, 0, cuts, sides[0].get(None, 1))
     for i, right in enumerate(rights, start=1):
         side = _bucketed(right.df, key, table, i, cuts).withColumn(f"_hit{i}", F.lit(True))
-        joined = joined.join(side, on, "left")
+        joined = joined.join(side.hint("merge"), on, "left")
     # A left row repeated for the cuts of right side i finds all its partners across
     # them, and has at least one, as the key was found on that side. A repeat without a
     # partner of its own is therefore not an unmatched row.
@@ -184,45 +210,47 @@ def _shuffled_left_join(
 
 
 def lookup(
-    left: DataFrame,
-    column: str,
-    codes: DataFrame,
-    code: str,
-    description: str,
-    output: str,
-    sketch_on: DataFrame | None = None,
+    left: DataFrame, column: str, codes: DataFrame, code: str, description: str, output: str
 ) -> DataFrame:
     """Add the description of the code in ``column`` as ``output`` (NULL if unknown)."""
-    right = codes.select(F.col(code).alias(column), F.col(description).alias(output))
-    return left_join(left, column, [Right(right)], sketch_on)
+    return left_join(left, column, [code_list(column, codes, code, description, output)])
+
+
+def code_list(
+    column: str, codes: DataFrame, code: str, description: str, output: str
+) -> Right:
+    """A code list as the right side of a join on ``column``."""
+    return Right(codes.select(F.col(code).alias(column), F.col(description).alias(output)))
 
 
 def normalised_key_join(
-    left: DataFrame,
-    key: str,
-    right: DataFrame,
-    right_key: Column,
-    sketch_on: DataFrame | None = None,
+    left: DataFrame, key: str, right: DataFrame, right_key: Column
 ) -> DataFrame:
     """Left join where the right key is an expression, e.g. a formatted number's digits."""
-    return left_join(left, key, [Right(right.withColumn(key, right_key))], sketch_on)
+    return left_join(left, key, [Right(right.withColumn(key, right_key))])
 
 
-def semi_join(df: DataFrame, column: str, keys: DataFrame, key: str | None = None) -> DataFrame:
+def semi_join(
+    df: DataFrame, column: str, keys: DataFrame, key: str | None = None, spread: bool = True
+) -> DataFrame:
     """Rows of ``df`` whose ``column`` occurs among ``keys``; columns of ``df`` only.
 
-    This is also the inner join with distinct keys. NULL matches nothing.
+    This is also the inner join with distinct keys. NULL matches nothing. Without
+    ``spread``, hot keys are left to the adaptive skew join, which saves reading ``df``
+    once more to find them.
     """
-    wanted = keys.select(F.col(key or column).alias(column))
-    if fits_broadcast(wanted):
-        return df.join(wanted, column, "left_semi").select(*df.columns)
-    hot = hot_keys(df.filter(F.col(column).isNotNull()), column)
+    wanted = Right(keys.select(F.col(key or column).alias(column)))
+    measure([wanted])
+    if wanted.small:
+        return df.join(wanted.df, column, "left_semi").select(*df.columns)
+    # Existence needs one row per key. Partial aggregation removes the copies before the
+    # shuffle, and before a hot key is repeated in its buckets.
+    wanted = wanted.df.distinct()
+    hot = hot_keys(df.filter(F.col(column).isNotNull()), column) if spread else {}
     if not hot:
-        return df.join(wanted, column, "left_semi").select(*df.columns)
-    # Existence needs one row per key, so the key side is made distinct (with partial
-    # aggregation) before it is repeated in the buckets.
+        return df.join(wanted.hint("merge"), column, "left_semi").select(*df.columns)
     table = _bucket_table(df, column, [hot])
     on = [column, "_b0"]
     left = _bucketed(df, column, table, 0, [0])
-    right = _bucketed(wanted.distinct(), column, table, 1, [0])
-    return left.join(right, on, "left_semi").select(*df.columns)
+    right = _bucketed(wanted, column, table, 1, [0])
+    return left.join(right.hint("merge"), on, "left_semi").select(*df.columns)

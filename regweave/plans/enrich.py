@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regweave.functions import blank_to_null, composite_key, digits_only, phone_number
-from regweave.operators.joins import Right, left_join, lookup, normalised_key_join, semi_join
+from regweave.operators.joins import Right, code_list, left_join, measure, semi_join
 from regweave.operators.relational import prefixed, slice_equal, summarise_many
 from regweave.schemas import DATASETS, ENRICHED, PARTNER_SUMMARY
 
@@ -21,6 +21,13 @@ PARTNER_KINDS = {
     "qtd_socios_estrangeiro": "3",
 }
 
+# Coded column -> code list and the name of its description.
+CODE_LISTS = {
+    "cnae_fiscal_principal": ("cnaes", "cnae_descricao"),
+    "natureza_juridica": ("naturezas", "natureza_juridica_descricao"),
+    "municipio": ("municipios", "municipio_descricao"),
+}
+
 _REGISTRY_PREFIX = "jucees_"
 
 
@@ -64,20 +71,21 @@ def build_enriched(
         name.removeprefix(_REGISTRY_PREFIX) for name in ENRICHED if name.startswith(_REGISTRY_PREFIX)
     ]
     registry = prefixed(tables["jucees"], _REGISTRY_PREFIX, published, keep=["cnpj"])
-    result = normalised_key_join(sliced, "cnpj", registry, digits_only("cnpj"))
-
+    registry = Right(registry.withColumn("cnpj", digits_only("cnpj")))
     companies = [Right(tables["empresas"]), Right(tables["simples"])]
     if partners:
-        companies.append(Right(partner_summary(tables["socios"]), unique=True))
-    result = left_join(result, COMPANY, companies, sketch_on=sliced)
-
+        source = tables["socios"].select(COMPANY, "data_entrada_sociedade")
+        companies.append(Right(partner_summary(tables["socios"]), unique=True, bound=source))
     codes = {
-        "cnae_fiscal_principal": ("cnaes", "cnae_descricao", sliced),
-        "natureza_juridica": ("naturezas", "natureza_juridica_descricao", None),
-        "municipio": ("municipios", "municipio_descricao", sliced),
+        column: code_list(column, tables[table], "codigo", "descricao", output)
+        for column, (table, output) in CODE_LISTS.items()
     }
-    for column, (table, output, keys) in codes.items():
-        result = lookup(result, column, tables[table], "codigo", "descricao", output, keys)
+    measure([registry, *companies, *codes.values()])
+
+    result = left_join(sliced, "cnpj", [registry])
+    result = left_join(result, COMPANY, companies, sketch_on=sliced)
+    for column, right in codes.items():
+        result = left_join(result, column, [right])
 
     derived = {
         "telefone_1_completo": phone_number("ddd_1", "telefone_1"),

@@ -6,10 +6,12 @@ none of its settings and never stop it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +38,17 @@ def cached(*frames: DataFrame) -> Iterator[None]:
             frame.unpersist()
 
 
+def run_together(spark: SparkSession, job: Callable[[str], None], names: list[str]) -> None:
+    """Submit one independent Spark job per name, so that the tail of one table's job
+    leaves no cores idle. The first failure is raised once all of them have ended."""
+    if not names:
+        return
+    with ThreadPoolExecutor(len(names)) as pool:
+        submit = inheritable_thread_target(spark)
+        for future in [pool.submit(submit(job), name) for name in names]:
+            future.result()
+
+
 def stage(
     spark: SparkSession, raw: RawRelease, staged: StagedRelease, partners: bool = True
 ) -> list[str]:
@@ -56,18 +69,19 @@ def stage(
 
     def reduced(name: str) -> DataFrame:
         table = raw.read(spark, name)
+        # Finding hot keys first would parse the raw text twice more, and a lone join is
+        # one that adaptive execution splits by itself.
         if COMPANY in table.columns:
-            return semi_join(table, COMPANY, company_keys)
+            return semi_join(table, COMPANY, company_keys, spread=False)
         if name == "municipios":
-            return semi_join(table, "codigo", town_keys, "municipio")
+            return semi_join(table, "codigo", town_keys, "municipio", spread=False)
         return table
 
+    def write(name: str) -> None:
+        write_table_once(spark, lambda: reduced(name), staged.path(name), rebalance=True)
+
     with cached(company_keys, town_keys):
-        for name in missing:
-            if name != "estabelecimentos":
-                write_table_once(
-                    spark, lambda name=name: reduced(name), staged.path(name), rebalance=True
-                )
+        run_together(spark, write, [name for name in missing if name != "estabelecimentos"])
     return missing
 
 
