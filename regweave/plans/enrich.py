@@ -85,7 +85,8 @@ def build_enriched(
     result = left_join(sliced, "cnpj", [registry])
     result = left_join(result, COMPANY, companies, sketch_on=sliced)
     for column, right in codes.items():
-        result = left_join(result, column, [right])
+        own = sliced if column in sliced.columns else None
+        result = left_join(result, column, [right], sketch_on=own)
 
     derived = {
         "telefone_1_completo": phone_number("ddd_1", "telefone_1"),

@@ -24,13 +24,23 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_SUCCESS")
 
 
+def _glob(spark: SparkSession, root: str, pattern: str) -> list:
+    fs, path = file_system(spark, f"{root}/{pattern}")
+    return list(fs.globStatus(path) or [])
+
+
 def directories(spark: SparkSession, root: str, prefix: str) -> list[str]:
     """Directories under ``root`` whose name starts with ``prefix``, in text order."""
-    fs, pattern = file_system(spark, f"{root}/{prefix}*")
-    found = fs.globStatus(pattern) or []
+    found = _glob(spark, root, f"{prefix}*")
     return sorted(entry.getPath().toString() for entry in found if entry.isDirectory())
 
 
+def files(spark: SparkSession, root: str, pattern: str) -> list[str]:
+    """Files under ``root`` whose name matches ``pattern``, in text order."""
+    found = _glob(spark, root, pattern)
+    return sorted(entry.getPath().toString() for entry in found if entry.isFile())
+
+
 def scratch_directory(spark: SparkSession, purpose: str) -> str:
     """A new directory for intermediate tables, in the folder all executors share.
 
