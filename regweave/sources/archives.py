@@ -24,7 +24,8 @@ from regweave.sources.delimited import csv_options
 from regweave.storage import files
 
 _CHUNK_CHARS = 4 << 20
-_UNREADABLE = (zipfile.BadZipFile, zlib.error, EOFError, OSError, RuntimeError, NotImplementedError)
+# What zipfile raises on damaged content. Storage errors are not among them.
+_UNREADABLE = (zipfile.BadZipFile, zlib.error, EOFError, ValueError, RuntimeError)
 
 
 def list_archives(spark: SparkSession, root: str, pattern: str = "*.zip") -> DataFrame:
@@ -52,15 +53,25 @@ def _open(location: str):
     return system.open_input_file(path)
 
 
-def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for archive in batch.column(0).to_pylist():
-            try:
-                with _open(archive) as handle, zipfile.ZipFile(handle) as opened:
-                    names = [item.filename for item in opened.infolist() if not item.is_dir()]
-            except _UNREADABLE:
+def _entry_lister(strict: bool):
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for archive in batch.column(0).to_pylist():
                 names = []
-            yield pa.RecordBatch.from_pydict({"archive": [archive] * len(names), "entry": names})
+                with _open(archive) as handle:
+                    try:
+                        with zipfile.ZipFile(handle) as opened:
+                            names = [i.filename for i in opened.infolist() if not i.is_dir()]
+                    except _UNREADABLE as error:
+                        if strict:
+                            raise zipfile.BadZipFile(f"damaged archive {archive}") from error
+                columns = [[archive] * len(names), names]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(values, pa.string()) for values in columns],
+                    names=["archive", "entry"],
+                )
+
+    return entries
 
 
 def _line_reader(encoding: str, header: bool):
@@ -90,17 +101,18 @@ def read_zipped(
     encoding: str = "ISO-8859-1",
     header: bool = False,
     archive: str = "archive",
+    strict: bool = False,
 ) -> DataFrame:
     """One table from all entries of ``archives``, parsed like ``read_delimited``.
 
-    An archive that is not a readable zip gives no rows (``audit_archives`` reports it);
-    damage inside an entry fails the read. A compressed entry can only be decoded from
+    An archive that is not a readable zip gives no rows (``audit_archives`` reports it),
+    or fails the read if ``strict``; damage inside an entry always fails it. A compressed entry can only be decoded from
     its start, so each one is streamed by one task in bounded memory; the lines are then
     rebalanced, which lets the parsing and all that follows run on every core even when
     one entry holds most of the rows.
     """
     paths = archives.select(archive)
-    entries = paths.mapInArrow(_entries, "archive string, entry string")
+    entries = paths.mapInArrow(_entry_lister(strict), "archive string, entry string")
     # Distinct archive names are few. One range per entry or so keeps large entries in
     # tasks of their own.
     tasks = max(1, paths.count())
@@ -120,18 +132,19 @@ def _audit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for archive in batch.column(0).to_pylist():
             count = size = bad = None
             ok = False
-            try:
-                with _open(archive) as handle, zipfile.ZipFile(handle) as opened:
-                    items = opened.infolist()
-                    count, size = len(items), sum(item.file_size for item in items)
-                    for item in items:
-                        bad = item.filename
-                        with opened.open(item) as raw:
-                            while raw.read(1 << 20):
-                                pass
-                    bad, ok = None, True
-            except _UNREADABLE:
-                pass
+            with _open(archive) as handle:
+                try:
+                    with zipfile.ZipFile(handle) as opened:
+                        items = opened.infolist()
+                        count, size = len(items), sum(item.file_size for item in items)
+                        for item in items:
+                            bad = item.filename
+                            with opened.open(item) as raw:
+                                while raw.read(1 << 20):
+                                    pass
+                        bad, ok = None, True
+                except _UNREADABLE:
+                    pass
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([archive], pa.string()), pa.array([count], pa.int64()),

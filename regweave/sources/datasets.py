@@ -44,7 +44,7 @@ class RawRelease:
             return read_state_registry(spark, self.state_registry)
         if self.zipped:
             chosen = self.archives(spark).filter(F.col("family") == name)
-            return read_zipped(chosen, dataset.schema, **REGISTRY_FORMAT)
+            return read_zipped(chosen, dataset.schema, **REGISTRY_FORMAT, strict=True)
         first_only = self.test_profile and dataset.split
         return read_family(spark, self.root, dataset.prefix, dataset.schema, first_only)
 
