@@ -231,26 +231,34 @@ def normalised_key_join(
 
 
 def semi_join(
-    df: DataFrame, column: str, keys: DataFrame, key: str | None = None, spread: bool = True
+    df: DataFrame,
+    column: str,
+    keys: DataFrame | Right,
+    key: str | None = None,
+    spread: bool = True,
 ) -> DataFrame:
     """Rows of ``df`` whose ``column`` occurs among ``keys``; columns of ``df`` only.
 
-    This is also the inner join with distinct keys. NULL matches nothing. Without
-    ``spread``, hot keys are left to the adaptive skew join, which saves reading ``df``
-    once more to find them.
+    This is also the inner join with distinct keys. NULL matches nothing. ``key`` names
+    the key column if it is not ``column``. Without ``spread``, hot keys are left to the
+    adaptive skew join, which saves reading ``df`` once more to find them.
     """
-    wanted = Right(keys.select(F.col(key or column).alias(column)))
-    measure([wanted])
+    wanted = keys if isinstance(keys, Right) else Right(keys)
+    wanted_keys = wanted.df.select(F.col(key or column).alias(column))
+    if wanted.small is None:
+        wanted = Right(wanted_keys, wanted.unique)
+        measure([wanted])
     if wanted.small:
-        return df.join(wanted.df, column, "left_semi").select(*df.columns)
+        return df.join(wanted_keys, column, "left_semi").select(*df.columns)
     # Existence needs one row per key. Partial aggregation removes the copies before the
     # shuffle, and before a hot key is repeated in its buckets.
-    wanted = wanted.df.distinct()
+    if not wanted.unique:
+        wanted_keys = wanted_keys.distinct()
     hot = hot_keys(df.filter(F.col(column).isNotNull()), column) if spread else {}
     if not hot:
-        return df.join(wanted.hint("merge"), column, "left_semi").select(*df.columns)
+        return df.join(wanted_keys.hint("merge"), column, "left_semi").select(*df.columns)
     table = _bucket_table(df, column, [hot])
     on = [column, "_b0"]
     left = _bucketed(df, column, table, 0, [0])
-    right = _bucketed(wanted, column, table, 1, [0])
+    right = _bucketed(wanted_keys, column, table, 1, [0])
     return left.join(right.hint("merge"), on, "left_semi").select(*df.columns)

@@ -70,8 +70,10 @@ def build_enriched(
     published = [
         name.removeprefix(_REGISTRY_PREFIX) for name in ENRICHED if name.startswith(_REGISTRY_PREFIX)
     ]
-    registry = prefixed(tables["jucees"], _REGISTRY_PREFIX, published, keep=["cnpj"])
-    registry = Right(registry.withColumn("cnpj", digits_only("cnpj")))
+    # Rows without a number match nothing; left out here, the digits are computed once.
+    numbered = tables["jucees"].filter(F.col("cnpj").isNotNull())
+    numbered = prefixed(numbered, _REGISTRY_PREFIX, published, keep=["cnpj"])
+    registry = Right(numbered.withColumn("cnpj", digits_only("cnpj")), bound=numbered)
     companies = [Right(tables["empresas"]), Right(tables["simples"])]
     if partners:
         source = tables["socios"].select(COMPANY, "data_entrada_sociedade")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regweave.functions import digits_only
-from regweave.operators.joins import semi_join
+from regweave.operators.joins import Right, measure, semi_join
 from regweave.operators.quality import duplicate_keys, require_slice, validation_report
 from regweave.operators.relational import distinct_keys, slice_equal
 from regweave.plans.enrich import COMPANY, build_enriched, build_partners, required_datasets
@@ -41,8 +41,6 @@ def cached(*frames: DataFrame) -> Iterator[None]:
 def run_together(spark: SparkSession, job: Callable[[str], None], names: list[str]) -> None:
     """Submit one independent Spark job per name, so that the tail of one table's job
     leaves no cores idle. The first failure is raised once all of them have ended."""
-    if not names:
-        return
     with ThreadPoolExecutor(len(names)) as pool:
         submit = inheritable_thread_target(spark)
         for future in [pool.submit(submit(job), name) for name in names]:
@@ -63,25 +61,29 @@ def stage(
         cut = slice_equal(raw.read(spark, "estabelecimentos"), "uf", staged.state)
         write_table(cut, staged.path("estabelecimentos"), rebalance=True)
 
+    others = [name for name in missing if name != "estabelecimentos"]
+    if not others:
+        return missing
     sliced = staged.read(spark, "estabelecimentos")
-    company_keys = distinct_keys(sliced, COMPANY)
-    town_keys = distinct_keys(sliced, "municipio")
+    companies = Right(distinct_keys(sliced, COMPANY), unique=True)
+    towns = Right(distinct_keys(sliced, "municipio"), unique=True)
 
     def reduced(name: str) -> DataFrame:
         table = raw.read(spark, name)
         # Finding hot keys first would parse the raw text twice more, and a lone join is
         # one that adaptive execution splits by itself.
         if COMPANY in table.columns:
-            return semi_join(table, COMPANY, company_keys, spread=False)
+            return semi_join(table, COMPANY, companies, spread=False)
         if name == "municipios":
-            return semi_join(table, "codigo", town_keys, "municipio", spread=False)
+            return semi_join(table, "codigo", towns, "municipio", spread=False)
         return table
 
     def write(name: str) -> None:
         write_table_once(spark, lambda: reduced(name), staged.path(name), rebalance=True)
 
-    with cached(company_keys, town_keys):
-        run_together(spark, write, [name for name in missing if name != "estabelecimentos"])
+    with cached(companies.df, towns.df):
+        measure([companies, towns])
+        run_together(spark, write, others)
     return missing
 
 
