@@ -22,9 +22,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 # A key is spread when it holds more rows than this many average shuffle partitions.
 HOT_PARTITIONS = 4
@@ -121,11 +123,11 @@ def _bucket_table(
             shrink = math.log(limit) / math.log(product)
             counts = [max(2, int(n**shrink)) if n > 1 else 1 for n in counts]
         rows.append((value, *counts))
-    schema = T.StructType(
-        [T.StructField("_hot_key", like.schema[key].dataType)]
-        + [T.StructField(f"_n{i}", T.IntegerType()) for i in range(len(sides))]
-    )
-    return spark.createDataFrame(rows, schema)
+    # Arrow keeps such a small table as a relation inside the plan.
+    keys, *counts = zip(*rows) if rows else [[] for _ in range(len(sides) + 1)]
+    columns = {"_hot_key": pa.array(keys, to_arrow_type(like.schema[key].dataType))}
+    columns |= {f"_n{i}": pa.array(column, pa.int32()) for i, column in enumerate(counts)}
+    return spark.createDataFrame(pa.table(columns))
 
 
 def _bucketed(

@@ -34,8 +34,10 @@ def list_archives(spark: SparkSession, root: str, pattern: str = "*.zip") -> Dat
     Only names pass through the driver. (Spark's own file scans leave out empty files,
     which an audit has to see.)
     """
-    rows = [(path, path.rsplit("/", 1)[1]) for path in files(spark, root, pattern)]
-    return spark.createDataFrame(rows, "archive string, name string")
+    paths = files(spark, root, pattern)
+    names = [path.rsplit("/", 1)[1] for path in paths]
+    columns = {"archive": pa.array(paths, pa.string()), "name": pa.array(names, pa.string())}
+    return spark.createDataFrame(pa.table(columns))
 
 
 def storage_of(location: str) -> tuple[fs.FileSystem, str]:

@@ -14,6 +14,8 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
+        .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
     )

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,8 +17,8 @@ def keyed(spark, rows, hot, columns, distinct=40, null_share=0.1, hot_share=0.4,
         key = f"k{rng.randrange(distinct)}"
         key = None if draw < null_share else hot if draw < null_share + hot_share else key
         data.append((key, *[f"{name}{rng.randrange(4)}" for name in columns]))
-    schema = ", ".join(f"{name} string" for name in ["k", *columns])
-    return spark.createDataFrame(data, schema).repartition(4)
+    values = [pa.array(column, pa.string()) for column in zip(*data)]
+    return spark.createDataFrame(pa.Table.from_arrays(values, names=["k", *columns])).repartition(4)
 
 
 @pytest.fixture
