@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from regweave.functions import blank_to_null, composite_key, digits_only, phone_number
 from regweave.operators.joins import Right, code_list, left_join, measure, semi_join
 from regweave.operators.relational import prefixed, slice_equal, summarise_many
-from regweave.schemas import DATASETS, ENRICHED, PARTNER_SUMMARY
+from regweave.schemas import DATASETS, DEFAULT_STATE, ENRICHED, PARTNER_SUMMARY
 
 COMPANY = "cnpj_basico"
 
@@ -51,7 +51,7 @@ def partner_summary(partners: DataFrame) -> DataFrame:
 
 
 def build_enriched(
-    tables: Mapping[str, DataFrame], state: str, partners: bool = True
+    tables: Mapping[str, DataFrame], state: str = DEFAULT_STATE, partners: bool = True
 ) -> DataFrame:
     """The state's establishments with everything known about them, 63 columns.
 
@@ -65,7 +65,7 @@ def build_enriched(
     itself.
     """
     key = composite_key(*DATASETS["estabelecimentos"].key)
-    sliced = slice_equal(tables["estabelecimentos"], "uf", state).withColumn("cnpj", key)
+    sliced = slice_equal(tables["estabelecimentos"], "uf", state.upper()).withColumn("cnpj", key)
 
     published = [
         name.removeprefix(_REGISTRY_PREFIX) for name in ENRICHED if name.startswith(_REGISTRY_PREFIX)
@@ -101,8 +101,8 @@ def build_enriched(
     return result.withColumns(derived).select(*ENRICHED)
 
 
-def build_partners(tables: Mapping[str, DataFrame], state: str) -> DataFrame:
+def build_partners(tables: Mapping[str, DataFrame], state: str = DEFAULT_STATE) -> DataFrame:
     """All partners of companies with an establishment in the state."""
-    sliced = slice_equal(tables["estabelecimentos"], "uf", state)
+    sliced = slice_equal(tables["estabelecimentos"], "uf", state.upper())
     kept = semi_join(tables["socios"], COMPANY, sliced)
     return kept.select(*DATASETS["socios"].columns)

@@ -12,6 +12,9 @@ def text_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
+# Fixed value: the state a run is for unless it says otherwise.
+DEFAULT_STATE = "ES"
+
 # Column names and their order in the published registry files.
 EMPRESAS = [
     "cnpj_basico", "razao_social", "natureza_juridica", "qualificacao_responsavel",

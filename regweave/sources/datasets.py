@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regweave.operators.selection import first_of_split_families, select_files
-from regweave.schemas import DATASETS
+from regweave.schemas import DATASETS, DEFAULT_STATE
 from regweave.sources.archives import list_archives, read_zipped
 from regweave.sources.delimited import REGISTRY_FORMAT, read_family, read_state_registry
 from regweave.storage import is_complete
@@ -51,13 +51,19 @@ class RawRelease:
 
 @dataclass(frozen=True)
 class StagedRelease:
-    """Location of the staged parquet tables of one release and state."""
+    """Location of the staged parquet tables of one release and state.
+
+    The state is part of it, so that runs for two states do not see each other's tables.
+    """
 
     root: str
     release: str
-    state: str
+    state: str = DEFAULT_STATE
     profile: str = "full"
 
+    def __post_init__(self) -> None:
+        object.__setattr__(self, "state", self.state.upper())
+
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{self.profile}/{self.release}/{self.state}/{name}"
 
