@@ -22,7 +22,9 @@ def partners_of_state(spark, sf_dir):
 
 
 def registry_duplicates(spark, sf_dir):
-    return duplicate_report(registry_tables(spark, sf_dir))
+    # The partners, many per company, stand in for a tax-regime table with repeated keys.
+    found = registry_tables(spark, sf_dir)
+    return duplicate_report(found | {"simples": found["socios"]})
 
 
 QUERIES = {
@@ -88,9 +90,9 @@ left join jucees j on e.cnpj = regexp_replace(j.cnpj, '[^0-9]', '', 'g')
 {join}"""
 
 
-def _repeated(name: str, key: str) -> str:
+def _repeated(name: str, key: str, source: str | None = None) -> str:
     return (
-        f"select '{name}' as dataset, {key} as key, count(*) as copies from {name}"
+        f"select '{name}' as dataset, {key} as key, count(*) as copies from {source or name}"
         f" where {key} is not null group by {key} having count(*) > 1"
     )
 
@@ -102,7 +104,7 @@ ORACLES = {
 with {registry_ctes()}
 select * from socios where cnpj_basico in (select cnpj_basico from estabelecimentos where uf = '{STATE}')""",
     "registry_duplicates": f"with {registry_ctes()}\n" + "\nunion all\n".join(
-        [_repeated(name, "cnpj_basico") for name in ("empresas", "simples")]
+        [_repeated("empresas", "cnpj_basico"), _repeated("simples", "cnpj_basico", "socios")]
         + [_repeated(name, "codigo") for name in ("cnaes", "naturezas", "municipios")]
         + [_repeated("jucees", "regexp_replace(cnpj, '[^0-9]', '', 'g')")]
     ),

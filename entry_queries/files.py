@@ -72,9 +72,8 @@ def _write_raw_release(spark: SparkSession, sf_dir: str, root: str) -> RawReleas
         if dataset.prefix is None:
             df.write.option("header", "true").option("escape", '"').csv(f"{root}/{name}")
         elif dataset.split:
-            half = F.pmod(F.xxhash64("cnpj_basico"), F.lit(2))
-            for number in range(2):
-                share = df.filter(half == number)
+            lower = F.xxhash64("cnpj_basico") < 0
+            for number, share in enumerate((df.filter(lower), df.filter(~lower))):
                 share.write.options(**_RAW_OPTIONS).csv(f"{root}/{dataset.prefix}{number}")
         else:
             df.write.options(**_RAW_OPTIONS).csv(f"{root}/{dataset.prefix}")

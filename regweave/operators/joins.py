@@ -8,9 +8,9 @@ Each join picks one of two ways:
   that small. Spark then broadcasts this side. The left side is not shuffled, so its skew
   does not matter.
 * Otherwise both sides are shuffled, and keys that would overload one task are spread
-  first. A count over the key column alone finds the keys with more rows than a few
-  average shuffle partitions; there are fewer of those than partitions, whatever the data
-  size. A row of such a key goes to one of several buckets, and the rows it has to meet
+  first. Counting rows per shuffle partition, and per key where a partition is too full,
+  finds the keys with more rows than a few average partitions; there are fewer of those
+  than partitions, whatever the data size. A row of such a key goes to one of several buckets, and the rows it has to meet
   are repeated in each of them. All other keys keep a single bucket. No row is dropped,
   and without such keys the plan is Spark's plain join.
 """
@@ -41,13 +41,19 @@ class Right:
 
     ``unique`` says the key is unique by construction. ``bound`` is a table that cannot
     be smaller than ``df`` and is cheaper to measure, such as the input of an aggregate.
-    ``small`` says that ``df`` can be broadcast (None = not measured yet).
+    ``small`` says that ``df`` can be broadcast (None = not measured yet), ``misjudged``
+    that Spark would broadcast it though it is too large.
     """
 
     df: DataFrame
     unique: bool = False
     bound: DataFrame | None = None
     small: bool | None = None
+    misjudged: bool = False
+
+    def shuffled(self, df: DataFrame) -> DataFrame:
+        """``df``, derived from this side, kept from a broadcast by estimate alone."""
+        return df.hint("merge") if self.misjudged else df
 
 
 def _shuffle_partitions(spark: SparkSession) -> int:
@@ -90,21 +96,28 @@ def measure(rights: Sequence[Right]) -> None:
     limit = BROADCAST_EXPANSION * _broadcast_limit(measured[0].sparkSession)
     for i, size in reduce(DataFrame.unionAll, sizes).collect():
         candidates[i].small = (size or 0) <= limit
+        candidates[i].misjudged = not candidates[i].small
 
 
 def hot_keys(df: DataFrame, key: str) -> dict[object, int]:
     """Overloaded keys and the number of buckets each one needs (None = NULL key).
 
-    The driver receives fewer rows than there are shuffle partitions.
+    First the rows are counted per partition the shuffle would send them to, which is one
+    number per task and partition whatever the number of keys. Only if some partitions
+    come out overloaded are the keys in those counted. The driver receives one row per
+    shuffle partition, and fewer hot keys than that.
     """
     partitions = _shuffle_partitions(df.sparkSession)
-    total = df.agg(F.count(F.lit(1))).scalar()
-    counts = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
-    load = counts.select("key", (F.col("n") * partitions / total).alias("load"))
-    return {
-        row.key: math.ceil(row.load)
-        for row in load.filter(F.col("load") > HOT_PARTITIONS).collect()
-    }
+    partition = F.pmod(F.hash(F.col(key)), F.lit(partitions))
+    loads = df.groupBy(partition.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+    average = sum(row.n for row in loads) / partitions
+    overloaded = [row.p for row in loads if row.n > HOT_PARTITIONS * average]
+    if not overloaded:
+        return {}
+    counts = df.filter(partition.isin(overloaded)).groupBy(F.col(key).alias("key"))
+    counts = counts.agg(F.count(F.lit(1)).alias("n"))
+    hot = counts.filter(F.col("n") > HOT_PARTITIONS * average).collect()
+    return {row.key: math.ceil(row.n / average) for row in hot}
 
 
 def _bucket_table(
@@ -193,14 +206,16 @@ def _shuffled_left_join(
     ]
     cuts = [i for i, side in enumerate(sides) if side]
     if not cuts:
-        return reduce(lambda df, right: df.join(right.df.hint("merge"), key, "left"), rights, left)
+        return reduce(
+            lambda df, right: df.join(right.shuffled(right.df), key, "left"), rights, left
+        )
 
     table = _bucket_table(left, key, sides)
     on = [key] + [f"_b{cut}" for cut in cuts]
     joined = _bucketed(left, key, table, 0, cuts, sides[0].get(None, 1))
     for i, right in enumerate(rights, start=1):
         side = _bucketed(right.df, key, table, i, cuts).withColumn(f"_hit{i}", F.lit(True))
-        joined = joined.join(side.hint("merge"), on, "left")
+        joined = joined.join(right.shuffled(side), on, "left")
     # A left row repeated for the cuts of right side i finds all its partners across
     # them, and has at least one, as the key was found on that side. A repeat without a
     # partner of its own is therefore not an unmatched row.
@@ -243,7 +258,8 @@ def semi_join(
 
     This is also the inner join with distinct keys. NULL matches nothing. ``key`` names
     the key column if it is not ``column``. Without ``spread``, hot keys are left to the
-    adaptive skew join, which saves reading ``df`` once more to find them.
+    adaptive skew join, which saves reading ``df`` once more to find them; it needs keys
+    that are a plain table of unique values.
     """
     wanted = keys if isinstance(keys, Right) else Right(keys)
     wanted_keys = wanted.df.select(F.col(key or column).alias(column))
@@ -258,9 +274,9 @@ def semi_join(
         wanted_keys = wanted_keys.distinct()
     hot = hot_keys(df.filter(F.col(column).isNotNull()), column) if spread else {}
     if not hot:
-        return df.join(wanted_keys.hint("merge"), column, "left_semi").select(*df.columns)
+        return df.join(wanted.shuffled(wanted_keys), column, "left_semi").select(*df.columns)
     table = _bucket_table(df, column, [hot])
     on = [column, "_b0"]
     left = _bucketed(df, column, table, 0, [0])
     right = _bucketed(wanted_keys, column, table, 1, [0])
-    return left.join(right.hint("merge"), on, "left_semi").select(*df.columns)
+    return left.join(wanted.shuffled(right), on, "left_semi").select(*df.columns)

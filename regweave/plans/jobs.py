@@ -24,6 +24,7 @@ from regweave.schemas import DATASETS
 from regweave.sinks.tables import export_single_csv, write_table, write_table_once
 from regweave.sources.archives import audit_archives
 from regweave.sources.datasets import RawRelease, StagedRelease, read_dataset
+from regweave.storage import is_complete
 
 
 @contextmanager
@@ -52,26 +53,38 @@ def stage(
 ) -> list[str]:
     """Write the missing staged tables and return their names.
 
-    Establishments are cut to the state and written first. The keys that reduce the other
-    tables are read back from that table: two narrow columns of a finished parquet table
-    instead of a cache of whole wide rows, and a lost executor costs a re-read of those.
+    Establishments are cut to the state and written first, then the two key tables that
+    reduce the other datasets. Those are read from finished parquet tables, so a lost
+    executor costs a re-read of narrow columns, and no wide rows have to be cached.
     """
     missing = staged.missing(spark, required_datasets(partners))
-    if "estabelecimentos" in missing:
+    recut = "estabelecimentos" in missing
+    if recut:
         cut = slice_equal(raw.read(spark, "estabelecimentos"), "uf", staged.state)
         write_table(cut, staged.path("estabelecimentos"), rebalance=True)
-
     others = [name for name in missing if name != "estabelecimentos"]
-    if not others:
-        return missing
-    sliced = staged.read(spark, "estabelecimentos")
-    companies = Right(distinct_keys(sliced, COMPANY), unique=True)
-    towns = Right(distinct_keys(sliced, "municipio"), unique=True)
+    if others:
+        _stage_reduced(spark, raw, staged, others, recut)
+    return missing
+
+
+def _stage_reduced(
+    spark: SparkSession, raw: RawRelease, staged: StagedRelease, names: list[str], recut: bool
+) -> None:
+    sliced = spark.read.parquet(staged.path("estabelecimentos"))
+
+    def keys(column: str) -> Right:
+        path = staged.path(f"keys_{column}")
+        if recut or not is_complete(spark, path):
+            write_table(distinct_keys(sliced, column), path)
+        return Right(spark.read.schema(sliced.select(column).schema).parquet(path), unique=True)
+
+    companies, towns = keys(COMPANY), keys("municipio")
 
     def reduced(name: str) -> DataFrame:
         table = raw.read(spark, name)
-        # Finding hot keys first would parse the raw text twice more, and a lone join is
-        # one that adaptive execution splits by itself.
+        # Finding hot keys first would parse the raw text once more. A lone join between
+        # two plain scans is one that adaptive execution splits by itself.
         if COMPANY in table.columns:
             return semi_join(table, COMPANY, companies, spread=False)
         if name == "municipios":
@@ -83,8 +96,7 @@ def stage(
 
     with cached(companies.df, towns.df):
         measure([companies, towns])
-        run_together(spark, write, others)
-    return missing
+        run_together(spark, write, names)
 
 
 def tables(
@@ -116,15 +128,16 @@ def build(
     results = {"enriched": build_enriched(inputs, staged.state, partners)}
     if partners:
         results["partners"] = build_partners(inputs, staged.state)
-    written = []
-    for name, df in results.items():
-        path = f"{output.rstrip('/')}/{name}"
+
+    def write(name: str) -> None:
+        df, path = results[name], f"{output.rstrip('/')}/{name}"
         write_table(df, path)
-        written.append(path)
         if single_csv:
             export_single_csv(spark.read.schema(df.schema).parquet(path), f"{path}.csv")
-            written.append(f"{path}.csv")
-    return written
+
+    run_together(spark, write, list(results))
+    suffixes = ["", ".csv"] if single_csv else [""]
+    return [f"{output.rstrip('/')}/{name}{suffix}" for name in results for suffix in suffixes]
 
 
 def validate(

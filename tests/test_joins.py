@@ -145,3 +145,37 @@ def test_semi_join_small_keys(spark, bag):
     df = spark.createDataFrame([("1", "a"), ("2", "b"), (None, "c")], "k string, x string")
     keys = spark.createDataFrame([("1",), ("1",), (None,)], "k string")
     assert bag(semi_join(df, "k", keys)) == {("1", "a"): 1}
+
+
+def test_lone_semi_join_is_split_by_adaptive_execution(spark, tmp_path, no_broadcast):
+    """What ``spread=False`` relies on, with thresholds made small enough for test data."""
+    path = str(tmp_path / "rows")
+    key = F.when(F.col("id") % 3 != 0, "hot").otherwise(F.col("id").cast("string"))
+    rows = spark.range(0, 60_000, 1, 8).select(key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    rows.write.parquet(path)
+    rows.select("k").distinct().write.parquet(path + "_keys")
+    keys = Right(spark.read.parquet(path + "_keys").cache(), unique=True)
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        got = semi_join(spark.read.parquet(path), "k", keys, spread=False)
+        got = got.hint("rebalance")
+        assert got.count() == 60_000
+        got.collect()
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_hot_keys_counts_exactly_and_sends_little_to_the_driver(spark):
+    df = spark.range(8000).select(F.when(F.col("id") < 6000, -1).otherwise(F.col("id")).alias("k"))
+    assert hot_keys(df, "k") == {-1: 6}
+    assert hot_keys(spark.range(8000).withColumnRenamed("id", "k"), "k") == {}
+    assert hot_keys(df.limit(0), "k") == {}
