@@ -99,25 +99,40 @@ def measure(rights: Sequence[Right]) -> None:
         candidates[i].misjudged = not candidates[i].small
 
 
-def hot_keys(df: DataFrame, key: str) -> dict[object, int]:
-    """Overloaded keys and the number of buckets each one needs (None = NULL key).
+def hot_keys(sides: Sequence[DataFrame], key: str) -> list[dict[object, int]]:
+    """Per side: overloaded keys and the number of buckets each needs (None = NULL key).
 
     First the rows are counted per partition the shuffle would send them to, which is one
     number per task and partition whatever the number of keys. Only if some partitions
-    come out overloaded are the keys in those counted. The driver receives one row per
-    shuffle partition, and fewer hot keys than that.
+    come out overloaded are the keys in those counted. Each of the two steps is one job
+    for all sides. The driver receives one row per shuffle partition, and fewer hot keys
+    than that.
     """
-    partitions = _shuffle_partitions(df.sparkSession)
+    hot: list[dict[object, int]] = [{} for _ in sides]
+    if not sides:
+        return hot
+    partitions = _shuffle_partitions(sides[0].sparkSession)
     partition = F.pmod(F.hash(F.col(key)), F.lit(partitions))
-    loads = df.groupBy(partition.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
-    average = sum(row.n for row in loads) / partitions
-    overloaded = [row.p for row in loads if row.n > HOT_PARTITIONS * average]
-    if not overloaded:
-        return {}
-    counts = df.filter(partition.isin(overloaded)).groupBy(F.col(key).alias("key"))
-    counts = counts.agg(F.count(F.lit(1)).alias("n"))
-    hot = counts.filter(F.col("n") > HOT_PARTITIONS * average).collect()
-    return {row.key: math.ceil(row.n / average) for row in hot}
+    rows = F.count(F.lit(1)).alias("n")
+    loads = [
+        df.groupBy(partition.alias("p")).agg(rows).select(F.lit(i).alias("side"), "p", "n")
+        for i, df in enumerate(sides)
+    ]
+    sizes: list[dict[int, int]] = [{} for _ in sides]
+    for side, p, n in reduce(DataFrame.unionAll, loads).collect():
+        sizes[side][p] = n
+    limits = [HOT_PARTITIONS * sum(size.values()) / partitions for size in sizes]
+    counts = []
+    for i, df in enumerate(sides):
+        full = [p for p, n in sizes[i].items() if n > limits[i]]
+        if full:
+            keys = df.filter(partition.isin(full)).groupBy(F.col(key).alias("key")).agg(rows)
+            keys = keys.filter(F.col("n") > limits[i])
+            counts.append(keys.select(F.lit(i).alias("side"), "key", "n"))
+    if counts:
+        for side, value, n in reduce(DataFrame.unionAll, counts).collect():
+            hot[side][value] = math.ceil(n * HOT_PARTITIONS / limits[side])
+    return hot
 
 
 def _bucket_table(
@@ -198,12 +213,12 @@ def left_join(
 def _shuffled_left_join(
     left: DataFrame, key: str, rights: Sequence[Right], sketch_on: DataFrame
 ) -> DataFrame:
-    sides = [hot_keys(sketch_on, key)]
     # A NULL on the right matches nothing, and Spark filters it out before the shuffle.
-    sides += [
-        {} if right.unique else hot_keys(right.df.filter(F.col(key).isNotNull()), key)
-        for right in rights
-    ]
+    counted = [i for i, right in enumerate(rights, start=1) if not right.unique]
+    with_keys = [rights[i - 1].df.filter(F.col(key).isNotNull()) for i in counted]
+    sides: list[dict[object, int]] = [{} for _ in range(len(rights) + 1)]
+    for i, found in zip([0, *counted], hot_keys([sketch_on, *with_keys], key)):
+        sides[i] = found
     cuts = [i for i, side in enumerate(sides) if side]
     if not cuts:
         return reduce(
@@ -272,7 +287,9 @@ def semi_join(
     # shuffle, and before a hot key is repeated in its buckets.
     if not wanted.unique:
         wanted_keys = wanted_keys.distinct()
-    hot = hot_keys(df.filter(F.col(column).isNotNull()), column) if spread else {}
+    hot = {}
+    if spread:
+        (hot,) = hot_keys([df.filter(F.col(column).isNotNull())], column)
     if not hot:
         return df.join(wanted.shuffled(wanted_keys), column, "left_semi").select(*df.columns)
     table = _bucket_table(df, column, [hot])
