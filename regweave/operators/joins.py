@@ -18,6 +18,7 @@ Each join picks one of two ways:
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -68,13 +69,16 @@ def _broadcast_limit(spark: SparkSession) -> int:
 
 
 def _row_bytes(df: DataFrame) -> Column:
-    """Payload bytes of a row: 8 per column plus the text."""
-    text = [
-        F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
-        for f in df.schema
-        if isinstance(f.dataType, T.StringType)
-    ]
-    return reduce(Column.__add__, text, F.lit(8 * len(df.columns))).cast("bigint")
+    """Payload bytes of a row: 8 per column plus text, and nested values as JSON text."""
+    sizes = []
+    for field in df.schema:
+        value = F.col(field.name)
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            value = F.to_json(F.struct(value))
+        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            continue
+        sizes.append(F.coalesce(F.octet_length(value), F.lit(0)))
+    return reduce(Column.__add__, sizes, F.lit(8 * len(df.columns))).cast("bigint")
 
 
 def measure(rights: Sequence[Right]) -> None:
@@ -170,7 +174,9 @@ def _bucketed(
     """
     names = df.columns
     result = df.join(F.broadcast(table), F.col(key) == F.col("_hot_key"), "left")
-    hashable = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    # Maps and variants, also inside other values, have no hash.
+    types = {field.name: field.dataType.simpleString() for field in df.schema}
+    hashable = [name for name, text in types.items() if not re.search("map<|variant", text)]
     for cut in cuts:
         if cut == own:
             buckets = F.when(F.col(key).isNull(), F.lit(null_buckets)).otherwise(F.col(f"_n{cut}"))

@@ -179,3 +179,22 @@ def test_hot_keys_counts_exactly_and_sends_little_to_the_driver(spark):
     even = spark.range(8000).withColumnRenamed("id", "k")
     assert hot_keys([even, df, df.limit(0)], "k") == [{}, {-1: 6}, {}]
     assert hot_keys([], "k") == []
+
+
+def test_nested_columns_are_measured_and_carried(spark, bag, no_broadcast, hot_is_twice_average):
+    left = spark.range(300).select(
+        F.when(F.col("id") < 200, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+        F.array("id").alias("a"), F.create_map(F.lit("m"), "id").alias("m"),
+    )
+    right = spark.range(250).select(
+        F.when(F.col("id") == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+        F.struct("id").alias("s"),
+    )
+    got = left_join(left, "k", [Right(right)])
+    assert "_b0" in got._jdf.queryExecution().optimizedPlan().toString()
+    flat = ["k", "a", F.to_json("m").alias("m"), "s.id"]
+    def rows(df):
+        return {(r.k, tuple(r.a), r.m, r.id) for r in df.select(*flat).collect()}
+    assert rows(got) == rows(left.join(right, "k", "left")) and got.count() == 300
+    side = left.agg(F.sum(joins._row_bytes(left))).first()[0]
+    assert side > 300 * 24
