@@ -6,10 +6,11 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from regweave.functions import blank_to_null, composite_key, digits_only, phone_number
 from regweave.operators.joins import Right, code_list, left_join, measure, semi_join
-from regweave.operators.relational import prefixed, slice_equal, summarise_many
+from regweave.operators.relational import distinct_keys, prefixed, slice_equal, summarise_many
 from regweave.schemas import DATASETS, DEFAULT_STATE, ENRICHED, PARTNER_SUMMARY
 
 COMPANY = "cnpj_basico"
@@ -75,14 +76,27 @@ def build_enriched(
     numbered = prefixed(numbered, _REGISTRY_PREFIX, published, keep=["cnpj"])
     registry = Right(numbered.withColumn("cnpj", digits_only("cnpj")), bound=numbered)
     companies = [Right(tables["empresas"]), Right(tables["simples"])]
+    wanted = []
     if partners:
-        source = tables["socios"].select(COMPANY, "data_entrada_sociedade")
-        companies.append(Right(partner_summary(tables["socios"]), unique=True, bound=source))
+        keys = distinct_keys(sliced, COMPANY)
+        wanted.append(Right(keys, unique=True, bound=sliced.select(COMPANY)))
+        # No larger summary is possible than one row of this for every partner.
+        date = F.col("data_entrada_sociedade")
+        widest = {
+            field.name: date if isinstance(field.dataType, T.StringType) else F.lit(0)
+            for field in PARTNER_SUMMARY
+        }
+        bound = tables["socios"].select(COMPANY, *[c.alias(name) for name, c in widest.items()])
+        companies.append(Right(partner_summary(tables["socios"]), unique=True, bound=bound))
     codes = {
         column: code_list(column, tables[table], "codigo", "descricao", output)
         for column, (table, output) in CODE_LISTS.items()
     }
-    measure([registry, *companies, *codes.values()])
+    measure([registry, *companies, *wanted, *codes.values()])
+    if partners and wanted[0].small:
+        # A broadcast of the slice's companies keeps all other partners out of the
+        # aggregation. Without one, the partial aggregation is the cheaper reduction.
+        companies[-1].df = partner_summary(semi_join(tables["socios"], COMPANY, wanted[0]))
 
     result = left_join(sliced, "cnpj", [registry])
     result = left_join(result, COMPANY, companies, sketch_on=sliced)
