@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from regweave.llm import decontaminate, exact_dedup, mixing
-from regweave.llm.common import table
+from regweave.llm import decontaminate, exact_dedup, language, licenses, mixing, secrets, toxicity
+from regweave.llm.common import id_remainder, table
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), {az}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _WORDS = _WORDS.replace("{az}", _AZ)
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.report(licenses.scan(docs))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.report(decontaminate.scan(docs, table(spark, sf_dir, "benchmark")))
@@ -42,6 +48,15 @@ from d left join hit using (doc_id) left join items using (doc_id)
 """
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rest = id_remainder("doc_id", 4)
+    languages = language.fit(docs, rest != 2)
+    named = language.identify(docs.select("doc_id", "text"), languages)
+    held = F.coalesce(rest == 2, F.lit(False)).alias("held_out")
+    return named.select("doc_id", held, "lang_pred", "score", "confident")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_classes(table(spark, sf_dir, "documents"))
 
@@ -56,6 +71,16 @@ from d join g using (text_sha256)
 """
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rest = id_remainder("doc_id", 5)
+    lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels"), rest != 0)
+    scored = toxicity.score(docs, lexicon)
+    held = F.coalesce(rest == 0, F.lit(False)).alias("held_out")
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", held, "score", predicted)
+
+
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -94,7 +119,16 @@ from c
 """
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.report(secrets.scan(docs))
+
+
 QUERIES = {
+    "op1_licenses": op1_licenses,
+    "op4_language": op4_language,
+    "op7_toxicity": op7_toxicity,
+    "op9_secrets": op9_secrets,
     "op3_decontaminate": op3_decontaminate,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_mix": op8_mix,
