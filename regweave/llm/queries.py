@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regweave.llm import decontaminate, exact_dedup, language, licenses, mixing, secrets, toxicity
+from regweave.llm import (
+    decontaminate, exact_dedup, language, licenses, mixing, secrets, toxicity, warc,
+)
 from regweave.llm.common import id_remainder, table
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -71,6 +73,23 @@ from d join g using (text_sha256)
 """
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.report(warc.read(warc.write(warc.decide(pages)), with_data=False))
+
+
+_OP6 = """
+with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as payload_digest,
+    octet_length(encode(coalesce(html, ''))) as payload_bytes from pages),
+g as (select payload_digest, max(page_id) as best from p where payload_bytes >= 1000 group by 1)
+select page_id, payload_bytes, p.payload_digest,
+  case when payload_bytes >= 1000 and page_id <> best then 'revisit' else 'response' end
+    as record_type,
+  case when payload_bytes >= 1000 and page_id <> best then best end as refers_to
+from p left join g on p.payload_digest = g.payload_digest
+"""
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rest = id_remainder("doc_id", 5)
@@ -127,6 +146,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op4_language": op4_language,
+    "op6_warc": op6_warc,
     "op7_toxicity": op7_toxicity,
     "op9_secrets": op9_secrets,
     "op3_decontaminate": op3_decontaminate,
@@ -136,5 +156,6 @@ QUERIES = {
 ORACLES = {
     "op3_decontaminate": _OP3,
     "op5_exact_dedup": _OP5,
+    "op6_warc": _OP6,
     "op8_mix": _OP8,
 }

@@ -90,8 +90,8 @@ def high_entropy(run: str, needed: float, window: int = WINDOW) -> list[tuple[in
     return spans
 
 
-def entropy_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """High-entropy spans outside the base spans and the allow-list."""
+def entropy_spans(text: str) -> list[tuple[int, int, int]]:
+    """High-entropy spans that no allow-listed text overlaps."""
     found = []
     for candidate in _CANDIDATE.finditer(text):
         run, offset = candidate[0], candidate.start()
@@ -104,7 +104,6 @@ def entropy_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int
     return [
         span for span in found
         if not any(s < span[1] and span[0] < e for s, e in covers)
-        and not any(s <= span[0] and span[1] <= e for s, e, _ in base)
     ]
 
 
@@ -124,10 +123,8 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
         rows = []
         for value in batch.column(text).to_pylist():
-            base = base_spans(value or "")
-            spans = sorted(
-                base + entropy_spans(value or "", base), key=lambda s: (s[0], s[2], s[1])
-            )
+            spans = base_spans(value or "") + entropy_spans(value or "")
+            spans.sort(key=lambda s: (s[0], s[2], s[1]))
             rows.append([{"kind": KINDS[k], "start": s, "end": e} for s, e, k in spans])
         return [pa.array(rows, kind)]
 
