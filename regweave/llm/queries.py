@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regweave.llm import (
-    decontaminate, exact_dedup, language, licenses, mixing, secrets, toxicity, warc,
+    decontaminate, exact_dedup, jaccard, language, licenses, mixing, secrets, toxicity, warc,
 )
 from regweave.llm.common import id_remainder, table
 
@@ -143,12 +143,17 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.scan(docs))
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op4_language": op4_language,
     "op6_warc": op6_warc,
     "op7_toxicity": op7_toxicity,
     "op9_secrets": op9_secrets,
+    "op10_jaccard": op10_jaccard,
     "op3_decontaminate": op3_decontaminate,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_mix": op8_mix,
