@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regweave.llm import (
-    decontaminate, exact_dedup, jaccard, language, licenses, mixing, secrets, toxicity, warc,
+    decontaminate, exact_dedup, jaccard, language, licenses, mixing, secrets, suffix_dedup,
+    toxicity, warc,
 )
 from regweave.llm.common import id_remainder, table
 
@@ -20,6 +21,10 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(licenses.scan(docs))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(suffix_dedup.dedup(table(spark, sf_dir, "documents")))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.report(decontaminate.scan(docs, table(spark, sf_dir, "benchmark")))
@@ -154,6 +159,7 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op9_secrets": op9_secrets,
     "op10_jaccard": op10_jaccard,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_mix": op8_mix,
