@@ -21,8 +21,8 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     remainder is not held out.
     """
     lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels"), id_remainder("doc_id", 5) != 0)
-    scored = toxicity.score(docs, lexicon, name="_toxicity")
-    return scored.where("_toxicity < 0.5").select(*docs.columns)
+    scored = toxicity.score(docs, lexicon, name="__rw_toxicity")
+    return scored.where("__rw_toxicity < 0.5").select(*docs.columns)
 
 
 def remove_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

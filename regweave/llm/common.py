@@ -1,4 +1,7 @@
-"""What the operators share: text handling, column-wise Python steps, joins to skewed groups."""
+"""What the operators share: text handling, column-wise Python steps, joins to skewed groups.
+
+Helper columns next to a caller's columns have names that begin with ``__rw_``.
+"""
 
 from __future__ import annotations
 

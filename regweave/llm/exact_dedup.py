@@ -195,16 +195,16 @@ def drop_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """
     names = docs.columns
     digest = F.sha2(normalised(F.col(text)), 256)
-    keyed = docs.withColumns({"_digest": digest, "_key": F.xxhash64(F.unhex(digest))})
-    keys = stored(keyed.select("_key", "_digest", F.col(doc_id).alias("_id")), "keys")
-    flagged = flag_repeats(keyed, "_key", "_maybe", keys)
-    rank = F.struct(F.col("_id").isNull().alias("none"), "_id")
+    keyed = docs.withColumns({"__rw_digest": digest, "__rw_key": F.xxhash64(F.unhex(digest))})
+    keys = stored(keyed.select("__rw_key", "__rw_digest", F.col(doc_id).alias("__rw_id")), "keys")
+    flagged = flag_repeats(keyed, "__rw_key", "__rw_maybe", keys)
+    rank = F.struct(F.col("__rw_id").isNull().alias("none"), "__rw_id")
     best = (
-        flag_repeats(keys, "_key", "_maybe").where("_maybe")
-        .groupBy("_digest").agg(F.min(rank).alias("best"))
-        .select("_digest", F.col("best._id").alias("_best"))
+        flag_repeats(keys, "__rw_key", "__rw_maybe").where("__rw_maybe")
+        .groupBy("__rw_digest").agg(F.min(rank).alias("best"))
+        .select("__rw_digest", F.col("best.__rw_id").alias("__rw_best"))
     )
-    maybe = flagged.where("_maybe")
-    same = (maybe["_digest"] == best["_digest"]) & maybe[doc_id].eqNullSafe(best["_best"])
-    staying = maybe.join(best, same, "left_semi").dropDuplicates(["_digest", doc_id])
-    return flagged.where("not _maybe").select(*names).unionByName(staying.select(*names))
+    maybe = flagged.where("__rw_maybe")
+    same = (maybe["__rw_digest"] == best["__rw_digest"]) & maybe[doc_id].eqNullSafe(best["__rw_best"])
+    staying = maybe.join(best, same, "left_semi").dropDuplicates(["__rw_digest", doc_id])
+    return flagged.where("not __rw_maybe").select(*names).unionByName(staying.select(*names))

@@ -210,28 +210,28 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     cues = sorted({rule["cue"] for rule in listed})
     marks = F.lit(cues + sorted({rule["keyword"] for rule in listed} - set(cues)))
     words = F.trim(F.regexp_replace(ascii_lower(F.col(text)), _SEPARATORS, " "))
-    normal = docs.select(*names, words.alias("_words"))
+    normal = docs.select(*names, words.alias("__rw_words"))
     gate = F.lit(False)
     # A cue that contains another one adds nothing to the gate.
     for cue in [c for c in cues if not any(o != c and o in c for o in cues)]:
-        gate |= F.contains("_words", F.lit(cue))
-    present = F.filter(marks, lambda mark: F.contains(F.col("_words"), mark))
-    gated = normal.withColumn("_present", F.when(gate, present))
+        gate |= F.contains("__rw_words", F.lit(cue))
+    present = F.filter(marks, lambda mark: F.contains(F.col("__rw_words"), mark))
+    gated = normal.withColumn("__rw_present", F.when(gate, present))
     active = F.filter(
         literal,
-        lambda rule: F.array_contains(F.col("_present"), rule["cue"])
-        & F.array_contains(F.col("_present"), rule["keyword"]),
+        lambda rule: F.array_contains(F.col("__rw_present"), rule["cue"])
+        & F.array_contains(F.col("__rw_present"), rule["keyword"]),
     )
     found = F.array_sort(
-        F.flatten(F.transform(active, lambda rule: _ranges(F.col("_words"), rule)))
+        F.flatten(F.transform(active, lambda rule: _ranges(F.col("__rw_words"), rule)))
     )
-    ordered = gated.withColumn("_found", F.when(F.col("_present").isNotNull(), found))
+    ordered = gated.withColumn("__rw_found", F.when(F.col("__rw_present").isNotNull(), found))
     kind = (
         "array<struct<start:int,before:int,rank:int,rule:string,end:int,label:string,"
         "priority:int,confidence:double,base:boolean>>"
     )
-    kept = F.coalesce(_unsuppressed(F.col("_found"), kind), F.array().cast(kind))
-    count = F.when(F.col("_words") == "", 0).otherwise(_spaces(F.col("_words")) + 1)
+    kept = F.coalesce(_unsuppressed(F.col("__rw_found"), kind), F.array().cast(kind))
+    count = F.when(F.col("__rw_words") == "", 0).otherwise(_spaces(F.col("__rw_words")) + 1)
     return ordered.select(
         *names, count.cast("long").alias("n_words"),
         F.transform(kept, lambda d: F.struct(*[
@@ -247,14 +247,14 @@ def _joined(labels: Column) -> Column:
 
 def report(scanned: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """One row per document: base places, labels and the strongest detection's confidence."""
-    based = scanned.withColumn("_base", F.filter("detections", lambda d: d["base"]))
-    starts = F.transform("_base", lambda d: d["start"])
+    based = scanned.withColumn("__rw_base", F.filter("detections", lambda d: d["base"]))
+    starts = F.transform("__rw_base", lambda d: d["start"])
     return based.select(
         doc_id, "n_words",
-        F.size("_base").cast("long").alias("n_base"),
+        F.size("__rw_base").cast("long").alias("n_base"),
         F.array_min(starts).cast("long").alias("first_word"),
         F.array_max(starts).cast("long").alias("last_word"),
-        _joined(F.transform("_base", lambda d: d["label"])).alias("base_labels"),
+        _joined(F.transform("__rw_base", lambda d: d["label"])).alias("base_labels"),
         _joined(F.transform("detections", lambda d: d["label"])).alias("labels"),
         F.coalesce(
             F.array_max(F.transform("detections", lambda d: d["confidence"])), F.lit(0.0)

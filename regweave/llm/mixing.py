@@ -100,10 +100,10 @@ def mix(
     columns replace those of the same name. One row per source passes through the driver.
     """
     spark = docs.sparkSession
-    own = {"size": words(F.col(text)), "_hash": document_hash(doc_id)}
+    own = {"size": words(F.col(text)), "__rw_hash": document_hash(doc_id)}
     rows = stored(
         docs.select(
-            F.col(source).alias("source"), own["size"].alias("size"), own["_hash"].alias("hash")
+            F.col(source).alias("source"), own["size"].alias("size"), own["__rw_hash"].alias("hash")
         ),
         "mixing",
     )
@@ -122,13 +122,13 @@ def mix(
     rules = _small(
         spark,
         [(*row, settled[row[0]]) for row in plan],
-        "_source string, source_size long, target double, _whole int, _threshold long",
+        "__rw_source string, source_size long, target double, __rw_whole int, __rw_threshold long",
     )
     names = [name for name in docs.columns if name not in ("size", "source_size", "target", "taken")]
-    copies = F.col("_whole") + (F.col("_hash") < F.col("_threshold")).cast("int")
+    copies = F.col("__rw_whole") + (F.col("__rw_hash") < F.col("__rw_threshold")).cast("int")
     return (
         docs.select(*names).withColumns(own)
-        .join(F.broadcast(rules), F.col(source).eqNullSafe(F.col("_source")))
+        .join(F.broadcast(rules), F.col(source).eqNullSafe(F.col("__rw_source")))
         .select(*names, "size", "source_size", "target", (F.col("size") * copies).alias("taken"))
     )
 

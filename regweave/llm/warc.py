@@ -53,26 +53,26 @@ def decide(
     keyed = pages.select(
         *names, F.sha1(payload).alias("digest"), F.octet_length(payload).cast("long").alias("n_bytes")
     )
-    keyed = keyed.withColumn("_key", F.xxhash64("digest"))
+    keyed = keyed.withColumn("__rw_key", F.xxhash64("digest"))
     keys = stored(
         keyed.where(F.col("n_bytes") >= least_bytes)
-        .select(F.col(page_id).alias("_id"), "digest", "_key"),
+        .select(F.col(page_id).alias("__rw_id"), "digest", "__rw_key"),
         "payloads",
     )
     none = F.lit(None).cast(pages.schema[page_id].dataType)
     groups = (
-        flag_repeats(keys, "_key", "_maybe").where("_maybe").groupBy("digest")
-        .agg(F.max("_id").alias("_best"), F.count(F.lit(1)).alias("_size"))
+        flag_repeats(keys, "__rw_key", "__rw_maybe").where("__rw_maybe").groupBy("digest")
+        .agg(F.max("__rw_id").alias("__rw_best"), F.count(F.lit(1)).alias("__rw_size"))
     )
     large = F.col("n_bytes") >= least_bytes
-    flagged = flag_repeats(keyed.where(large), "_key", "_maybe", keys)
-    joined = attach_groups(flagged.where("_maybe"), groups, ["digest"], "_size", keys.count())
-    other = ~F.col(page_id).eqNullSafe(F.col("_best"))
+    flagged = flag_repeats(keyed.where(large), "__rw_key", "__rw_maybe", keys)
+    joined = attach_groups(flagged.where("__rw_maybe"), groups, ["digest"], "__rw_size", keys.count())
+    other = ~F.col(page_id).eqNullSafe(F.col("__rw_best"))
     columns = [*names, "digest", "n_bytes", "refers_to"]
     return (
         keyed.where(~large).withColumn("refers_to", none).select(*columns)
-        .unionByName(flagged.where("not _maybe").withColumn("refers_to", none).select(*columns))
-        .unionByName(joined.withColumn("refers_to", F.when(other, F.col("_best"))).select(*columns))
+        .unionByName(flagged.where("not __rw_maybe").withColumn("refers_to", none).select(*columns))
+        .unionByName(joined.withColumn("refers_to", F.when(other, F.col("__rw_best"))).select(*columns))
     )
 
 

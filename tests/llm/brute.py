@@ -61,3 +61,90 @@ def repeats(docs, length=100):
         spans = len(re.findall(rb"\x01+", bytes(gone)))
         rows.append((doc_id, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
     return sorted(rows, key=str)
+
+
+def alnum_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def normalised(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def license_places(text, phrases):
+    """(words, number of places, first, last, labels) of the phrases in a text."""
+    words = alnum_words(text)
+    found = []
+    for phrase, label in phrases.items():
+        wanted = phrase.split()
+        found += [
+            (i, label) for i in range(len(words) - len(wanted) + 1)
+            if words[i : i + len(wanted)] == wanted
+        ]
+    starts = [i for i, _ in found]
+    labels = ",".join(sorted({label for _, label in found}))
+    return (
+        len(words), len(found), min(starts, default=None), max(starts, default=None), labels,
+    )
+
+
+def leaks(text, items, width=10):
+    """(words, hit words, item ids) of a text against (item_id, text) pairs."""
+    words = alnum_words(text)
+    hit, found = set(), set()
+    for item_id, item in items:
+        own = alnum_words(item)
+        length = min(width, len(own))
+        windows = {tuple(own[i : i + length]) for i in range(len(own) - length + 1)} if own else ()
+        for i in range(len(words) - length + 1 if windows else 0):
+            if tuple(words[i : i + length]) in windows:
+                hit.update(range(i, i + length))
+                found.add(item_id)
+    return len(words), len(hit), sorted(str(i) for i in found if i is not None)
+
+
+def exact_classes(docs):
+    """(doc_id, keep_id, group size) of (doc_id, text) rows."""
+    groups = {}
+    for doc_id, text in docs:
+        groups.setdefault(normalised(text), []).append(doc_id)
+    rows = []
+    for doc_id, text in docs:
+        own = groups[normalised(text)]
+        rows.append((doc_id, min((i for i in own if i is not None), default=None), len(own)))
+    return sorted(rows, key=str)
+
+
+def mix(docs, weights=(3, 1, 2), share=1.5):
+    """{(doc_id, source): taken} of (doc_id, text, source) rows with different ids."""
+    sizes, rows = {}, []
+    for doc_id, text, source in docs:
+        size = len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+        digest = hashlib.md5(("" if doc_id is None else str(doc_id)).encode()).hexdigest()
+        rows.append((source, int(digest[:15], 16), size, doc_id))
+        sizes[source] = sizes.get(source, 0) + size
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {name: weights[i % len(weights)] for i, name in enumerate(names)}
+    goal, full = dict.fromkeys(names, 0.0), set()
+    rest = share * sum(sizes.values())
+    while rest > 1e-9 and len(full) < len(names):  # hand the rest out again and again
+        unit = rest / sum(weight[n] for n in names if n not in full)
+        rest = 0.0
+        for name in [n for n in names if n not in full]:
+            goal[name] += unit * weight[name]
+            if goal[name] >= 2 * sizes[name]:
+                rest += goal[name] - 2 * sizes[name]
+                goal[name] = 2.0 * sizes[name]
+                full.add(name)
+    taken = {}
+    for name in names:
+        whole = round(goal[name], 6) >= sizes[name]
+        budget = round(goal[name]) - whole * sizes[name]
+        upto, open_ = 0, True
+        for _, _, size, doc_id in sorted(r for r in rows if r[0] == name):
+            below = open_ and (upto + size <= budget or 2 * (budget - upto) > size)
+            if open_ and upto + size > budget:
+                open_ = False
+            upto += size
+            taken[doc_id, name] = size * (whole + below)
+    return taken, goal
