@@ -102,7 +102,7 @@ def test_secret_spans(make, awkward):
     ]
     got = secrets.report(secrets.scan(make(list(enumerate(texts)) + awkward)))
     found = {r.doc_id: r for r in got.collect() if r.doc_id is not None and r.doc_id < len(texts)}
-    assert found[0].spans == "assign:2:23" and found[0].n_assign == 1
+    assert found[0].spans == "assign:2:22" and found[0].n_assign == 1
     assert found[3].n_hex == 1 and found[3].spans.startswith("hex:0:24")
     assert found[4].spans == "" and found[6].spans == "" and found[9].spans == ""
     assert secrets.base_spans(texts[2]) == [(0, 20, 1)]
