@@ -14,6 +14,31 @@ def file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as a full URI, so that every process resolves it on the same file system."""
+    fs, target = file_system(spark, path)
+    return fs.makeQualified(target).toString()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` and what is below it, if it exists."""
+    fs, target = file_system(spark, path)
+    fs.delete(target, True)
+
+
+def make_directory(spark: SparkSession, path: str) -> None:
+    fs, target = file_system(spark, path)
+    fs.mkdirs(target)
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """Put a small file at ``path``, in place of one that may be there."""
+    fs, target = file_system(spark, path)
+    stream = fs.create(target, True)
+    stream.write(bytearray(content))
+    stream.close()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, target = file_system(spark, path)
     return fs.exists(target)
@@ -35,6 +60,12 @@ def directories(spark: SparkSession, root: str, prefix: str) -> list[str]:
     return sorted(entry.getPath().toString() for entry in found if entry.isDirectory())
 
 
+def directory_names(spark: SparkSession, root: str) -> list[str]:
+    """Names of the directories in ``root``, in text order."""
+    found = _glob(spark, root, "*")
+    return sorted(entry.getPath().getName() for entry in found if entry.isDirectory())
+
+
 def files(spark: SparkSession, root: str, pattern: str) -> list[str]:
     """Files under ``root`` whose name matches ``pattern``, in text order."""
     found = _glob(spark, root, pattern)
@@ -52,4 +83,4 @@ def scratch_directory(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         shared = tempfile.mkdtemp(prefix="regweave-")
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return qualified(spark, f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}")

@@ -3,7 +3,13 @@ import zipfile
 import pytest
 
 from regweave.schemas import DATASETS, text_schema
-from regweave.sources.archives import audit_archives, list_archives, read_zipped
+from regweave.sources.archives import (
+    audit_archives,
+    list_archives,
+    list_entries,
+    read_zipped,
+    storage_uri,
+)
 from regweave.sources.delimited import read_delimited, read_family, read_state_registry
 
 ABC = text_schema(["a", "b", "c"])
@@ -93,8 +99,39 @@ def test_zipped_rows_equal_unzipped_rows(spark, bag, tmp_path, raw_file):
     (tmp_path / "Abc3.zip").write_bytes(b"")
     archives = list_archives(spark, str(tmp_path))
     assert archives.count() == 4
+    with pytest.raises(Exception, match="damaged archive"):
+        read_zipped(archives, ABC).count()
+    # Whoever wants the readable archives only says so.
+    good = audit_archives(archives).where("ok").select("archive")
     want = bag(read_delimited(spark, [str(raw_file)] * 1, ABC))
-    assert bag(read_zipped(archives, ABC)) == {row: 3 * n for row, n in want.items()}
+    assert bag(read_zipped(good, ABC)) == {row: 3 * n for row, n in want.items()}
+
+
+def test_no_archive_is_an_error(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        list_archives(spark, str(tmp_path))
+
+
+def test_entries_of_one_archive_are_decoded_by_many_tasks(spark, plan, tmp_path):
+    zipped(tmp_path / "x.zip", {f"{i}.csv": f"{i};b;c\n".encode() for i in range(50)})
+    archives = list_archives(spark, str(tmp_path))
+    got = read_zipped(archives, ABC)
+    assert "rangepartitioning(archive" in plan(got) and ", 50)" in plan(got)
+    assert sorted(int(row.a) for row in got.collect()) == list(range(50))
+    assert list_entries(archives).agg({"size": "sum"}).first()[0] == sum(
+        len(f"{i};b;c\n") for i in range(50)
+    )
+    assert tuple(audit_archives(archives).first())[1:] == (50, 340, None, True)
+
+
+@pytest.mark.parametrize("location, uri", [
+    ("abfss://box@acc.example.net/a b/x.zip", "abfss://box@acc.example.net/a%20b/x.zip"),
+    ("hdfs://nn:8020/a/x y.zip", "hdfs://nn:8020/a/x%20y.zip"),
+    ("s3a://bucket/k@1:2.zip", "s3://bucket/k%401%3A2.zip"),
+    ("s3n://bucket/x.zip", "s3://bucket/x.zip"),
+])
+def test_only_the_path_of_a_location_is_escaped(location, uri):
+    assert storage_uri(location) == uri
 
 
 def test_zipped_lines_longer_than_a_chunk_and_header(spark, tmp_path, monkeypatch):
@@ -109,6 +146,8 @@ def test_zipped_lines_longer_than_a_chunk_and_header(spark, tmp_path, monkeypatc
 
 def test_audit_reports_every_kind_of_damage(spark, tmp_path):
     zipped(tmp_path / "good.zip", {"a": b"12345", "b": b"1"})
+    with zipfile.ZipFile(tmp_path / "nothing.zip", "w") as archive:
+        archive.comment = b"an archive without entries that is long enough to be one"
     zipped(tmp_path / "crc.zip", {"a": bytes(range(256)) * 50})
     (tmp_path / "text.zip").write_bytes(b"no archive")
     (tmp_path / "empty.zip").write_bytes(b"")
@@ -122,4 +161,5 @@ def test_audit_reports_every_kind_of_damage(spark, tmp_path):
         "crc.zip": (1, 12800, "a", False),
         "text.zip": (None, None, None, False),
         "empty.zip": (None, None, None, False),
+        "nothing.zip": (None, None, None, False),
     }
