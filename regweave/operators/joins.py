@@ -103,38 +103,43 @@ def measure(rights: Sequence[Right]) -> None:
         candidates[i].misjudged = not candidates[i].small
 
 
-def hot_keys(sides: Sequence[DataFrame], key: str) -> list[dict[object, int]]:
-    """Per side: overloaded keys and the number of buckets each needs (None = NULL key).
+def hot_keys(sides: Sequence[tuple[DataFrame, str]]) -> list[dict[object, int]]:
+    """Per (table, key column): overloaded keys and the number of buckets each needs
+    (None = NULL key).
 
     First the rows are counted per partition the shuffle would send them to, which is one
     number per task and partition whatever the number of keys. Only if some partitions
     come out overloaded are the keys in those counted. Each of the two steps is one job
-    for all sides. The driver receives one row per shuffle partition, and fewer hot keys
-    than that.
+    for all sides, whatever joins they belong to. The driver receives one row per shuffle
+    partition, and fewer hot keys than that.
     """
     hot: list[dict[object, int]] = [{} for _ in sides]
     if not sides:
         return hot
-    partitions = _shuffle_partitions(sides[0].sparkSession)
-    partition = F.pmod(F.hash(F.col(key)), F.lit(partitions))
+    partitions = _shuffle_partitions(sides[0][0].sparkSession)
     rows = F.count(F.lit(1)).alias("n")
+
+    def partition(key: str) -> Column:
+        return F.pmod(F.hash(F.col(key)), F.lit(partitions))
+
     loads = [
-        df.groupBy(partition.alias("p")).agg(rows).select(F.lit(i).alias("side"), "p", "n")
-        for i, df in enumerate(sides)
+        df.groupBy(partition(key).alias("p")).agg(rows).select(F.lit(i).alias("side"), "p", "n")
+        for i, (df, key) in enumerate(sides)
     ]
     sizes: list[dict[int, int]] = [{} for _ in sides]
     for side, p, n in reduce(DataFrame.unionAll, loads).collect():
         sizes[side][p] = n
     limits = [HOT_PARTITIONS * sum(size.values()) / partitions for size in sizes]
-    counts = []
-    for i, df in enumerate(sides):
+    counts: dict[str, list[DataFrame]] = {}
+    for i, (df, key) in enumerate(sides):
         full = [p for p, n in sizes[i].items() if n > limits[i]]
         if full:
-            keys = df.filter(partition.isin(full)).groupBy(F.col(key).alias("key")).agg(rows)
-            keys = keys.filter(F.col("n") > limits[i])
-            counts.append(keys.select(F.lit(i).alias("side"), "key", "n"))
-    if counts:
-        for side, value, n in reduce(DataFrame.unionAll, counts).collect():
+            kept = df.filter(partition(key).isin(full)).groupBy(F.col(key).alias("key"))
+            keys = kept.agg(rows).filter(F.col("n") > limits[i])
+            kind = df.schema[key].dataType.simpleString()
+            counts.setdefault(kind, []).append(keys.select(F.lit(i).alias("side"), "key", "n"))
+    for tables in counts.values():
+        for side, value, n in reduce(DataFrame.unionAll, tables).collect():
             hot[side][value] = math.ceil(n * HOT_PARTITIONS / limits[side])
     return hot
 
@@ -192,39 +197,90 @@ def _bucketed(
     return result.select(*names, *[f"_b{cut}" for cut in cuts], *counts)
 
 
+@dataclass
+class Join:
+    """A left join with every table of ``rights`` on the same-named ``key``.
+
+    ``sketch`` is a table with the left side's keys, cheaper to count than the left side
+    if that is itself the result of joins. ``hot`` holds the hot keys of the left side and
+    of each right side that has to be shuffled (None = not counted yet).
+    """
+
+    key: str
+    rights: list[Right]
+    sketch: DataFrame
+    hot: list[dict[object, int]] | None = None
+
+    @property
+    def shuffled(self) -> list[Right]:
+        return [right for right in self.rights if not right.small]
+
+
+def prepare(joins: Sequence[Join], also: Sequence[Right] = ()) -> None:
+    """Measure the right sides of all ``joins`` (and of ``also``) in one job, and count the
+    hot keys of what has to be shuffled in one more, or two if there are any."""
+    measure([right for join in joins for right in join.rights] + list(also))
+    sides, owners = [], []
+    for join in joins:
+        if join.hot is None:
+            join.hot = [{} for _ in range(len(join.shuffled) + 1)]
+            if join.shuffled:
+                sides.append((join.sketch, join.key))
+                owners.append((join, 0))
+            for i, right in enumerate(join.shuffled, start=1):
+                # A NULL on the right matches nothing, and Spark filters it out before
+                # the shuffle.
+                if not right.unique:
+                    sides.append((right.df.filter(F.col(join.key).isNotNull()), join.key))
+                    owners.append((join, i))
+    for (join, i), found in zip(owners, hot_keys(sides)):
+        join.hot[i] = found
+
+
+def _require_equal_types(left: DataFrame, key: str, rights: Sequence[DataFrame]) -> None:
+    """Hot keys of all sides are compared as values, so the sides must agree on the type."""
+    types = {df.schema[key].dataType.simpleString() for df in [left, *rights]}
+    if len(types) > 1:
+        raise TypeError(f"join key {key!r} has types {sorted(types)}; cast it on one side")
+
+
 def left_join(
     left: DataFrame, key: str, rights: Sequence[Right], sketch_on: DataFrame | None = None
 ) -> DataFrame:
     """Left outer join of ``left`` with every right side on the same-named ``key``.
 
     Ordinary left-join semantics: all left rows stay, a duplicate right key multiplies
-    them, NULL keys match nothing. All sides that must be shuffled share one
-    distribution of the left side. ``sketch_on`` is a cheaper table with the left side's
-    keys, for when ``left`` itself is the result of earlier joins.
+    them, NULL keys match nothing. The key must have the same type on all sides. All sides
+    that must be shuffled share one distribution of the left side. ``sketch_on`` is a
+    cheaper table with the left side's keys, for when ``left`` itself is the result of
+    earlier joins.
     """
-    measure(rights)
-    small = [right for right in rights if right.small]
-    large = [right for right in rights if not right.small]
+    join = Join(key, list(rights), left if sketch_on is None else sketch_on)
+    return apply(left, join)
+
+
+def apply(left: DataFrame, join: Join) -> DataFrame:
+    """``left_join`` as ``prepare`` found best; prepares ``join`` if nobody has."""
+    key, rights = join.key, join.rights
+    _require_equal_types(left, key, [right.df for right in rights])
+    if join.hot is None:
+        prepare([join])
     result = left
-    if large:
-        result = _shuffled_left_join(left, key, large, left if sketch_on is None else sketch_on)
-    # Broadcast sides come last, so that their columns do not travel in a shuffle.
-    for right in small:
-        result = result.join(right.df, key, "left")
+    if join.shuffled:
+        result = _shuffled_left_join(left, key, join.shuffled, join.hot)
+    # Broadcast sides come last, so that their columns do not travel in a shuffle. They
+    # have been measured, which the hint tells to Spark.
+    for right in rights:
+        if right.small:
+            result = result.join(F.broadcast(right.df), key, "left")
     columns = [key] + [name for name in left.columns if name != key]
     columns += [name for right in rights for name in right.df.columns if name != key]
     return result.select(*columns)
 
 
 def _shuffled_left_join(
-    left: DataFrame, key: str, rights: Sequence[Right], sketch_on: DataFrame
+    left: DataFrame, key: str, rights: Sequence[Right], sides: Sequence[dict[object, int]]
 ) -> DataFrame:
-    # A NULL on the right matches nothing, and Spark filters it out before the shuffle.
-    counted = [i for i, right in enumerate(rights, start=1) if not right.unique]
-    with_keys = [rights[i - 1].df.filter(F.col(key).isNotNull()) for i in counted]
-    sides: list[dict[object, int]] = [{} for _ in range(len(rights) + 1)]
-    for i, found in zip([0, *counted], hot_keys([sketch_on, *with_keys], key)):
-        sides[i] = found
     cuts = [i for i, side in enumerate(sides) if side]
     if not cuts:
         return reduce(
@@ -284,18 +340,19 @@ def semi_join(
     """
     wanted = keys if isinstance(keys, Right) else Right(keys)
     wanted_keys = wanted.df.select(F.col(key or column).alias(column))
+    _require_equal_types(df, column, [wanted_keys])
     if wanted.small is None:
         wanted = Right(wanted_keys, wanted.unique)
         measure([wanted])
     if wanted.small:
-        return df.join(wanted_keys, column, "left_semi").select(*df.columns)
+        return df.join(F.broadcast(wanted_keys), column, "left_semi").select(*df.columns)
     # Existence needs one row per key. Partial aggregation removes the copies before the
     # shuffle, and before a hot key is repeated in its buckets.
     if not wanted.unique:
         wanted_keys = wanted_keys.distinct()
     hot = {}
     if spread:
-        (hot,) = hot_keys([df.filter(F.col(column).isNotNull())], column)
+        (hot,) = hot_keys([(df.filter(F.col(column).isNotNull()), column)])
     if not hot:
         return df.join(wanted.shuffled(wanted_keys), column, "left_semi").select(*df.columns)
     table = _bucket_table(df, column, [hot])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from regweave.operators.relational import bounded_count, total_count
 
+# Default bound of counts that only ask whether there is data.
 PROBE_ROWS = 1000
 
 
@@ -21,11 +22,12 @@ def validation_report(
     slice_as: str = "slice_rows",
     companies_as: str = "company_rows",
     activities_as: str = "activity_rows",
+    bound: int = PROBE_ROWS,
 ) -> DataFrame:
-    """One row: bounded counts of the slice and the companies, full count of activities."""
+    """One row: counts of the slice and the companies up to ``bound``, and of all activities."""
     counts = [
-        bounded_count(sliced, PROBE_ROWS, slice_as),
-        bounded_count(companies, PROBE_ROWS, companies_as),
+        bounded_count(sliced, bound, slice_as),
+        bounded_count(companies, bound, companies_as),
         total_count(activities, activities_as),
     ]
     # Scalar subqueries put three one-row counts next to each other without a join.
@@ -36,10 +38,11 @@ def validation_report(
 
 
 def require_slice(report: DataFrame, state: str, slice_as: str = "slice_rows") -> DataFrame:
-    """Fail if the report counted no slice rows; give the report back otherwise."""
-    if report.select(slice_as).first()[0] == 0:
+    """Run the report, and fail if it counted no slice rows; give its row back otherwise."""
+    row = report.first()
+    if row[slice_as] == 0:
         raise EmptySliceError(f"no establishments for state {state}")
-    return report
+    return report.sparkSession.createDataFrame([row], report.schema)
 
 
 def duplicate_keys(df: DataFrame, *key: str, count_as: str = "copies") -> DataFrame:

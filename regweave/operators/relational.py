@@ -52,13 +52,14 @@ def summarise_many(
 
 
 def bounded_count(df: DataFrame, bound: int, name: str) -> DataFrame:
-    """One row: the number of rows, counted up to ``bound`` ("is there data?").
+    """One row: the number of rows, counted up to ``bound`` ("is there data?")."""
+    return df.select(F.lit(1).alias("one")).limit(bound).agg(F.count("one").alias(name))
 
-    ``take`` reads a few partitions and goes on to more only while rows are missing, where
-    counting a limit would start a task for every partition of the table.
-    """
-    found = len(df.select(F.lit(1)).take(bound))
-    return df.sparkSession.range(1).select(F.lit(found).cast("bigint").alias(name))
+
+def probe_count(df: DataFrame, bound: int) -> int:
+    """The same number, at once. ``take`` reads a few partitions and goes on to more only
+    while rows are missing, where a counted limit starts a task for every partition."""
+    return len(df.select(F.lit(1)).take(bound))
 
 
 def total_count(df: DataFrame, name: str) -> DataFrame:

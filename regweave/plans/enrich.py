@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regweave.functions import blank_to_null, composite_key, digits_only, phone_number
-from regweave.operators.joins import Right, code_list, left_join, measure, semi_join
+from regweave.operators.joins import Join, Right, apply, code_list, prepare, semi_join
 from regweave.operators.relational import distinct_keys, prefixed, slice_equal, summarise_many
 from regweave.schemas import DATASETS, DEFAULT_STATE, ENRICHED, PARTNER_SUMMARY
 
@@ -52,18 +52,24 @@ def partner_summary(partners: DataFrame) -> DataFrame:
 
 
 def build_enriched(
-    tables: Mapping[str, DataFrame], state: str = DEFAULT_STATE, partners: bool = True
+    tables: Mapping[str, DataFrame],
+    state: str = DEFAULT_STATE,
+    partners: bool = True,
+    reduced: bool = False,
 ) -> DataFrame:
     """The state's establishments with everything known about them, 63 columns.
 
-    Left-join semantics throughout. Without ``partners`` (or a ``socios`` table) the six
-    summary columns are NULL of the same types, so the schema is always the same.
+    Left-join semantics throughout. Without ``partners`` the six summary columns are NULL
+    of the same types, so the schema is always the same; with them, ``tables`` needs
+    ``socios``. ``reduced`` says that ``socios`` holds the slice's partners only, as staged
+    tables do.
 
     The order of the joins is chosen for the width of what is shuffled: the state
     registry, which needs the establishments distributed by their own key, comes while
     rows are narrow; the joins by company share one distribution; the code lists, which
     are small and normally broadcast, come last, as do the columns computed from the row
-    itself.
+    itself. Legal forms are looked up on the companies, which are fewer and narrower. The
+    sizes and hot keys of all tables are found by one job each, before the plan is made.
     """
     key = composite_key(*DATASETS["estabelecimentos"].key)
     sliced = slice_equal(tables["estabelecimentos"], "uf", state.upper()).withColumn("cnpj", key)
@@ -71,15 +77,19 @@ def build_enriched(
     published = [
         name.removeprefix(_REGISTRY_PREFIX) for name in ENRICHED if name.startswith(_REGISTRY_PREFIX)
     ]
-    # Rows without a number match nothing; left out here, the digits are computed once.
+    # Rows without a digit in their number match nothing; left out here, the digits are
+    # computed once.
     numbered = tables["jucees"].filter(F.col("cnpj").isNotNull())
     numbered = prefixed(numbered, _REGISTRY_PREFIX, published, keep=["cnpj"])
-    registry = Right(numbered.withColumn("cnpj", digits_only("cnpj")), bound=numbered)
-    companies = [Right(tables["empresas"]), Right(tables["simples"])]
+    digits = F.nullif(digits_only("cnpj"), F.lit(""))
+    registry = Join("cnpj", [Right(numbered.withColumn("cnpj", digits), bound=numbered)], sliced)
+    firms = Right(tables["empresas"])
+    companies = Join(COMPANY, [firms, Right(tables["simples"])], sliced)
     wanted = []
     if partners:
-        keys = distinct_keys(sliced, COMPANY)
-        wanted.append(Right(keys, unique=True, bound=sliced.select(COMPANY)))
+        if not reduced:
+            keys = distinct_keys(sliced, COMPANY)
+            wanted.append(Right(keys, unique=True, bound=sliced.select(COMPANY)))
         # No larger summary is possible than one row of this for every partner.
         date = F.col("data_entrada_sociedade")
         widest = {
@@ -87,22 +97,26 @@ def build_enriched(
             for field in PARTNER_SUMMARY
         }
         bound = tables["socios"].select(COMPANY, *[c.alias(name) for name, c in widest.items()])
-        companies.append(Right(partner_summary(tables["socios"]), unique=True, bound=bound))
+        summary = Right(partner_summary(tables["socios"]), unique=True, bound=bound)
+        companies.rights.append(summary)
     codes = {
-        column: code_list(column, tables[table], "codigo", "descricao", output)
+        column: Join(
+            column,
+            [code_list(column, tables[table], "codigo", "descricao", output)],
+            sliced if column in sliced.columns else tables["empresas"],
+        )
         for column, (table, output) in CODE_LISTS.items()
     }
-    measure([registry, *companies, *wanted, *codes.values()])
-    if partners and wanted[0].small:
+    prepare([registry, companies, *codes.values()], wanted)
+    if wanted and wanted[0].small:
         # A broadcast of the slice's companies keeps all other partners out of the
         # aggregation. Without one, the partial aggregation is the cheaper reduction.
-        companies[-1].df = partner_summary(semi_join(tables["socios"], COMPANY, wanted[0]))
+        summary.df = partner_summary(semi_join(tables["socios"], COMPANY, wanted[0]))
+    firms.df = apply(tables["empresas"], codes.pop("natureza_juridica"))
 
-    result = left_join(sliced, "cnpj", [registry])
-    result = left_join(result, COMPANY, companies, sketch_on=sliced)
-    for column, right in codes.items():
-        own = sliced if column in sliced.columns else None
-        result = left_join(result, column, [right], sketch_on=own)
+    result = apply(apply(sliced, registry), companies)
+    for code in codes.values():
+        result = apply(result, code)
 
     derived = {
         "telefone_1_completo": phone_number("ddd_1", "telefone_1"),
@@ -115,8 +129,15 @@ def build_enriched(
     return result.withColumns(derived).select(*ENRICHED)
 
 
-def build_partners(tables: Mapping[str, DataFrame], state: str = DEFAULT_STATE) -> DataFrame:
-    """All partners of companies with an establishment in the state."""
+def build_partners(
+    tables: Mapping[str, DataFrame], state: str = DEFAULT_STATE, reduced: bool = False
+) -> DataFrame:
+    """All partners of companies with an establishment in the state.
+
+    ``reduced`` says that ``socios`` holds no others, as staged tables do.
+    """
+    if reduced:
+        return tables["socios"].select(*DATASETS["socios"].columns)
     sliced = slice_equal(tables["estabelecimentos"], "uf", state.upper())
     kept = semi_join(tables["socios"], COMPANY, sliced)
     return kept.select(*DATASETS["socios"].columns)

@@ -96,7 +96,7 @@ def test_hot_key_and_its_copies_spread_over_partitions(
 def test_null_keys_spread_and_stay(spark, bag, no_broadcast, hot_is_twice_average):
     left = keyed(spark, 300, "k1", ["a"], null_share=0.6, hot_share=0)
     right = keyed(spark, 40, "k1", ["c"], null_share=0.5, hot_share=0, seed=5)
-    assert None in hot_keys([left], "k")[0]
+    assert None in hot_keys([(left, "k")])[0]
     assert bag(left_join(left, "k", [Right(right)])) == bag(left.join(right, "k", "left"))
 
 
@@ -177,8 +177,8 @@ def test_lone_semi_join_is_split_by_adaptive_execution(spark, tmp_path, no_broad
 def test_hot_keys_counts_exactly_and_sends_little_to_the_driver(spark):
     df = spark.range(8000).select(F.when(F.col("id") < 6000, -1).otherwise(F.col("id")).alias("k"))
     even = spark.range(8000).withColumnRenamed("id", "k")
-    assert hot_keys([even, df, df.limit(0)], "k") == [{}, {-1: 6}, {}]
-    assert hot_keys([], "k") == []
+    assert hot_keys([(even, "k"), (df, "k"), (df.limit(0), "k")]) == [{}, {-1: 6}, {}]
+    assert hot_keys([]) == []
 
 
 def test_nested_columns_are_measured_and_carried(spark, bag, no_broadcast, hot_is_twice_average):
@@ -198,3 +198,25 @@ def test_nested_columns_are_measured_and_carried(spark, bag, no_broadcast, hot_i
     assert rows(got) == rows(left.join(right, "k", "left")) and got.count() == 300
     side = left.agg(F.sum(joins._row_bytes(left))).first()[0]
     assert side > 300 * 24
+
+
+@pytest.mark.parametrize("left, right", [("int", "bigint"), ("int", "string"), ("date", "string")])
+def test_keys_of_different_types_are_refused_before_any_job(spark, left, right):
+    value = "cast(null as {}) as k"
+    one, other = [spark.range(1).selectExpr(value.format(kind), "id") for kind in (left, right)]
+    with pytest.raises(TypeError, match="join key 'k'"):
+        left_join(one, "k", [Right(other.withColumnRenamed("id", "r"))])
+    with pytest.raises(TypeError, match="join key 'k'"):
+        semi_join(one, "k", other)
+
+
+def test_several_joins_are_prepared_together(spark, bag, no_broadcast, hot_is_twice_average):
+    left = keyed(spark, 300, "k1", ["a", "b"])
+    first = joins.Join("k", [Right(keyed(spark, 60, "k1", ["r"], seed=3))], left)
+    renamed = keyed(spark, 40, "b1", ["s"], seed=4).withColumnRenamed("k", "b")
+    second = joins.Join("b", [Right(renamed)], left)
+    joins.prepare([first, second])
+    assert "k1" in first.hot[0] and "b1" in second.hot[1]
+    got = joins.apply(joins.apply(left, first), second)
+    want = left.join(first.rights[0].df, "k", "left").join(renamed, "b", "left")
+    assert bag(got.select(want.columns)) == bag(want)

@@ -10,6 +10,7 @@ from regweave.operators.quality import (
 from regweave.operators.relational import (
     bounded_count,
     distinct_keys,
+    probe_count,
     prefixed,
     renamed,
     slice_equal,
@@ -46,13 +47,16 @@ def test_summary_counts_kinds_and_compares_dates_as_text(spark):
 def test_bounded_count_stops_at_the_bound(spark):
     assert bounded_count(spark.range(50), 10, "n").first().n == 10
     assert bounded_count(spark.range(3), 10, "n").first().n == 3
+    assert probe_count(spark.range(50), 10) == 10 and probe_count(spark.range(3), 10) == 3
 
 
 def test_report_and_empty_slice(spark):
     some, none = spark.range(1500), spark.range(0)
     report = validation_report(some, none, some)
     assert report.first().asDict() == {"slice_rows": 1000, "company_rows": 0, "activity_rows": 1500}
-    assert require_slice(report, "ES") is report
+    assert require_slice(report, "ES").collect() == report.collect()
+    bounded = validation_report(some, none, some, bound=7)
+    assert bounded.first().slice_rows == 7
     with pytest.raises(EmptySliceError, match="ES"):
         require_slice(validation_report(none, some, some), "ES")
 
