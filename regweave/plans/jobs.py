@@ -17,14 +17,22 @@ from pyspark.sql import functions as F
 
 from regweave.functions import digits_only
 from regweave.operators.joins import Right, measure, semi_join
-from regweave.operators.quality import duplicate_keys, require_slice, validation_report
-from regweave.operators.relational import distinct_keys, slice_equal
+from regweave.operators.quality import PROBE_ROWS, EmptySliceError, duplicate_keys
+from regweave.operators.relational import distinct_keys, probe_count, slice_equal
 from regweave.plans.enrich import COMPANY, build_enriched, build_partners, required_datasets
-from regweave.schemas import DATASETS
+from regweave.schemas import DATASETS, DEFAULT_STATE
 from regweave.sinks.tables import export_single_csv, write_table, write_table_once
 from regweave.sources.archives import audit_archives
-from regweave.sources.datasets import RawRelease, StagedRelease, read_dataset
-from regweave.storage import is_complete
+from regweave.sources.datasets import (
+    RawRelease,
+    StagedRelease,
+    discover_release,
+    read_dataset,
+)
+from regweave.storage import is_complete, remove
+
+#: Tables that hold only what belongs to the staged establishments.
+SLICED = ("keys_cnpj_basico", "keys_municipio", "empresas", "simples", "socios", "municipios")
 
 
 @contextmanager
@@ -56,26 +64,33 @@ def stage(
     Establishments are cut to the state and written first, then the two key tables that
     reduce the other datasets. Those are read from finished parquet tables, so a lost
     executor costs a re-read of narrow columns, and no wide rows have to be cached.
+
+    Key tables and reduced tables belong to one slice. Where the slice has to be cut, those
+    of an older one are removed first, so at no time, not after a crash either, is a table
+    complete that does not belong to the complete slice beside it.
     """
+    staged.require_profile_of(raw)
+    if not staged.has(spark, "estabelecimentos"):
+        for name in SLICED:
+            remove(spark, staged.path(name))
     missing = staged.missing(spark, required_datasets(partners))
-    recut = "estabelecimentos" in missing
-    if recut:
+    if "estabelecimentos" in missing:
         cut = slice_equal(raw.read(spark, "estabelecimentos"), "uf", staged.state)
         write_table(cut, staged.path("estabelecimentos"), rebalance=True)
     others = [name for name in missing if name != "estabelecimentos"]
     if others:
-        _stage_reduced(spark, raw, staged, others, recut)
+        _stage_reduced(spark, raw, staged, others)
     return missing
 
 
 def _stage_reduced(
-    spark: SparkSession, raw: RawRelease, staged: StagedRelease, names: list[str], recut: bool
+    spark: SparkSession, raw: RawRelease, staged: StagedRelease, names: list[str]
 ) -> None:
     sliced = spark.read.parquet(staged.path("estabelecimentos"))
 
     def keys(column: str) -> Right:
         path = staged.path(f"keys_{column}")
-        if recut or not is_complete(spark, path):
+        if not is_complete(spark, path):
             write_table(distinct_keys(sliced, column), path)
         return Right(spark.read.schema(sliced.select(column).schema).parquet(path), unique=True)
 
@@ -125,9 +140,10 @@ def build(
     if raw is not None:
         stage(spark, raw, staged, partners)
     inputs = tables(spark, staged, partners=partners)
-    results = {"enriched": build_enriched(inputs, staged.state, partners)}
+    # Staged partners are already those of the slice.
+    results = {"enriched": build_enriched(inputs, staged.state, partners, reduced=True)}
     if partners:
-        results["partners"] = build_partners(inputs, staged.state)
+        results["partners"] = build_partners(inputs, staged.state, reduced=True)
 
     def write(name: str) -> None:
         df, path = results[name], f"{output.rstrip('/')}/{name}"
@@ -140,25 +156,40 @@ def build(
     return [f"{output.rstrip('/')}/{name}{suffix}" for name in results for suffix in suffixes]
 
 
-def validate(
-    spark: SparkSession, staged: StagedRelease, raw: RawRelease | None = None
-) -> DataFrame:
-    """One-row report of a release; fails on damaged archives and on an empty slice."""
-    if raw is not None and raw.zipped:
+def audit(spark: SparkSession, raw: RawRelease) -> None:
+    """Fail if an archive of a zipped release is damaged."""
+    if raw.zipped:
         damaged = audit_archives(raw.archives(spark)).filter(~F.col("ok"))
         first = damaged.orderBy("archive").first()
         if first is not None:
             raise RuntimeError(f"damaged archive {first.archive}, entry {first.bad_entry}")
-    found = {
-        name: read_dataset(spark, name, staged, raw)
-        for name in ("estabelecimentos", "empresas", "cnaes")
-    }
-    report = validation_report(
-        slice_equal(found["estabelecimentos"], "uf", staged.state),
-        found["empresas"],
-        found["cnaes"],
+
+
+def validate(
+    spark: SparkSession,
+    staged: StagedRelease,
+    raw: RawRelease | None = None,
+    bound: int = PROBE_ROWS,
+) -> DataFrame:
+    """One-row report of a release; fails on damaged archives and on an empty slice.
+
+    ``slice_rows`` and ``company_rows`` are counted up to ``bound``. ``repeated_keys`` is the
+    number of right-hand keys that multiply rows; ``duplicate_report`` lists them.
+    """
+    if raw is not None:
+        audit(spark, raw)
+    found = tables(spark, staged, raw, partners=False)
+    sliced = slice_equal(found["estabelecimentos"], "uf", staged.state)
+    rows = probe_count(sliced, bound)
+    if rows == 0:
+        raise EmptySliceError(f"no establishments for state {staged.state}")
+    counts = (
+        rows, probe_count(found["empresas"], bound), found["cnaes"].count(),
+        duplicate_report(found).count(),
+    )
+    return spark.createDataFrame(
+        [counts], "slice_rows long, company_rows long, activity_rows long, repeated_keys long"
     )
-    return require_slice(report, staged.state)
 
 
 def duplicate_report(tables: dict[str, DataFrame]) -> DataFrame:
@@ -167,7 +198,8 @@ def duplicate_report(tables: dict[str, DataFrame]) -> DataFrame:
     reports = []
     for name in right_hand:
         (key,) = DATASETS[name].key
-        value = digits_only(key) if name == "jucees" else F.col(key)
+        # A registry number without a digit matches nothing.
+        value = F.nullif(digits_only(key), F.lit("")) if name == "jucees" else F.col(key)
         repeated = duplicate_keys(tables[name].select(value.alias("key")), "key")
         reports.append(repeated.select(F.lit(name).alias("dataset"), "key", "copies"))
     return reduce(DataFrame.unionByName, reports)
@@ -178,9 +210,29 @@ def run_all(
     raw: RawRelease,
     staged: StagedRelease,
     output: str,
-    single_csv: bool = True,
+    single_csv: bool = False,
 ) -> list[str]:
-    """Stage, validate and build, partners included."""
+    """Audit, stage, validate and build, partners included."""
+    staged.require_profile_of(raw)
+    audit(spark, raw)
     stage(spark, raw, staged)
-    validate(spark, staged, raw)
+    validate(spark, staged)
     return build(spark, staged, output, single_csv=single_csv)
+
+
+def run_latest(
+    spark: SparkSession,
+    releases: str,
+    state_registry: str,
+    staged_root: str,
+    output: str,
+    state: str = DEFAULT_STATE,
+    zipped: bool = True,
+    test_profile: bool = False,
+    single_csv: bool = False,
+) -> list[str]:
+    """``run_all`` for the newest release folder in ``releases``; results in its subfolder."""
+    label = discover_release(spark, releases)
+    raw = RawRelease(f"{releases.rstrip('/')}/{label}", state_registry, zipped, test_profile)
+    staged = StagedRelease(staged_root, label, state, raw.profile)
+    return run_all(spark, raw, staged, f"{output.rstrip('/')}/{label}", single_csv)

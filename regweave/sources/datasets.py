@@ -7,11 +7,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regweave.operators.selection import first_of_split_families, select_files
+from regweave.operators.selection import (
+    first_of_split_families,
+    latest_release,
+    select_files,
+)
 from regweave.schemas import DATASETS, DEFAULT_STATE
 from regweave.sources.archives import list_archives, read_zipped
 from regweave.sources.delimited import REGISTRY_FORMAT, read_family, read_state_registry
-from regweave.storage import is_complete
+from regweave.storage import directory_names, is_complete
 
 
 @dataclass(frozen=True)
@@ -44,7 +48,9 @@ class RawRelease:
             return read_state_registry(spark, self.state_registry)
         if self.zipped:
             chosen = self.archives(spark).filter(F.col("family") == name)
-            return read_zipped(chosen, dataset.schema, **REGISTRY_FORMAT, strict=True)
+            if chosen.isEmpty():
+                raise FileNotFoundError(f"no archive of {dataset.prefix} in {self.root}")
+            return read_zipped(chosen, dataset.schema, **REGISTRY_FORMAT)
         first_only = self.test_profile and dataset.split
         return read_family(spark, self.root, dataset.prefix, dataset.schema, first_only)
 
@@ -64,6 +70,14 @@ class StagedRelease:
     def __post_init__(self) -> None:
         object.__setattr__(self, "state", self.state.upper())
 
+    def require_profile_of(self, raw: RawRelease) -> None:
+        """Fail if ``raw`` reads another share of the files than these tables hold."""
+        if raw.profile != self.profile:
+            raise ValueError(
+                f"raw files are read with profile {raw.profile!r}, tables are staged as"
+                f" {self.profile!r}"
+            )
+
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{self.profile}/{self.release}/{self.state}/{name}"
 
@@ -77,10 +91,19 @@ class StagedRelease:
         return spark.read.schema(DATASETS[name].schema).parquet(self.path(name))
 
 
+def discover_release(spark: SparkSession, root: str) -> str:
+    """The greatest release label among the directories in ``root``; others are ignored."""
+    names = [(name,) for name in directory_names(spark, root)]
+    listed = spark.createDataFrame(names, "label string")
+    return latest_release(listed, "label").first()["label"]
+
+
 def read_dataset(
     spark: SparkSession, name: str, staged: StagedRelease, raw: RawRelease | None = None
 ) -> DataFrame:
     """The staged table if it was completely written, else the raw files (unreduced)."""
+    if raw is not None:
+        staged.require_profile_of(raw)
     if raw is None or staged.has(spark, name):
         return staged.read(spark, name)
     return raw.read(spark, name)

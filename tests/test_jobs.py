@@ -114,7 +114,8 @@ def test_validate(spark, tmp_path, raw):
     staged = staged_at(tmp_path)
     jobs.stage(spark, raw, staged)
     report = jobs.validate(spark, staged, raw)
-    assert tuple(report.first()) == (4, 2, 1)
+    assert tuple(report.first()) == (4, 2, 1, 1)
+    assert tuple(jobs.validate(spark, staged, bound=3).first()) == (3, 2, 1, 1)
     with pytest.raises(EmptySliceError):
         jobs.validate(spark, staged_at(tmp_path, "RJ"), raw)
     if raw.zipped:
@@ -131,7 +132,82 @@ def test_duplicate_report(spark, bag):
 
 def test_run_all(spark, tmp_path, extracted):
     written = jobs.run_all(spark, extracted, staged_at(tmp_path), str(tmp_path / "out"))
-    assert len(written) == 4
+    assert len(written) == 2
+
+
+def test_run_latest_takes_the_newest_release_folder(spark, tmp_path):
+    for name in ("2025-12", "tmp", "2026-1"):
+        (tmp_path / "releases" / name).mkdir(parents=True)
+    registry.write_zipped(tmp_path / "releases" / "2026-01")
+    registry.write_state_registry(tmp_path / "registry.csv")
+    written = jobs.run_latest(
+        spark, str(tmp_path / "releases"), str(tmp_path / "registry.csv"),
+        str(tmp_path / "staged"), str(tmp_path / "out"), "es",
+    )
+    assert written == [f"{tmp_path}/out/2026-01/enriched", f"{tmp_path}/out/2026-01/partners"]
+    assert spark.read.parquet(written[0]).count() == 5
+
+
+def test_a_new_slice_removes_what_belongs_to_the_old_one(spark, tmp_path, extracted):
+    staged = staged_at(tmp_path)
+    part = tmp_path / "part"
+    registry.write_extracted(part)
+    for number in (0, 1):
+        path = part / f"Estabelecimentos{number}" / "DATA.CSV"
+        kept = [line for line in path.read_bytes().splitlines(True) if b"22222222" in line]
+        path.write_bytes(b"".join(kept))
+    jobs.stage(spark, RawRelease(str(part), extracted.state_registry), staged)
+    assert staged.read(spark, "empresas").count() == 1
+    # Staged again one table at a time, as after a crash between two writes.
+    os.remove(f"{staged.path('estabelecimentos')}/_SUCCESS")
+    redone = jobs.stage(spark, extracted, staged)
+    assert {"estabelecimentos", "empresas", "simples", "socios", "municipios"} == set(redone)
+    assert {name: staged.read(spark, name).count() for name in DATASETS} == STAGED_ROWS
+
+
+def test_a_crash_after_the_cut_leaves_nothing_of_the_old_slice(
+    spark, tmp_path, extracted, monkeypatch
+):
+    staged = staged_at(tmp_path)
+    jobs.stage(spark, extracted, staged)
+    os.remove(f"{staged.path('estabelecimentos')}/_SUCCESS")
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(jobs, "_stage_reduced", crash)
+        with pytest.raises(RuntimeError, match="lost"):
+            jobs.stage(spark, extracted, staged)
+    assert staged.has(spark, "estabelecimentos") and not staged.has(spark, "empresas")
+    assert not os.path.exists(staged.path("keys_cnpj_basico"))
+
+
+def test_profiles_do_not_mix(spark, tmp_path, extracted):
+    short = RawRelease(extracted.root, extracted.state_registry, test_profile=True)
+    staged = staged_at(tmp_path)
+    for call in (
+        lambda: jobs.stage(spark, short, staged),
+        lambda: jobs.build(spark, staged, str(tmp_path / "out"), short),
+        lambda: jobs.run_all(spark, short, staged, str(tmp_path / "out")),
+        lambda: read_dataset(spark, "cnaes", staged, short),
+    ):
+        with pytest.raises(ValueError, match="profile"):
+            call()
+    assert not os.path.exists(staged.path("cnaes"))
+
+
+@pytest.mark.parametrize("zipped", [True, False])
+def test_a_missing_family_is_an_error(spark, tmp_path, zipped):
+    root = tmp_path / "raw"
+    (registry.write_zipped if zipped else registry.write_extracted)(root)
+    if zipped:
+        os.remove(root / "Simples.zip")
+    else:
+        os.rename(root / "Simples", root / "Other")
+    raw = RawRelease(str(root), "", zipped=zipped)
+    with pytest.raises((FileNotFoundError, ValueError)):
+        raw.read(spark, "simples")
 
 
 def test_cached_frames_are_released_after_a_failure(spark):
