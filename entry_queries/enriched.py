@@ -17,19 +17,26 @@ def enriched_base_no_many(spark, sf_dir):
     return build_enriched(registry_tables(spark, sf_dir), STATE, partners=False)
 
 
+def enriched_lower_case_state(spark, sf_dir):
+    """The state may be given in any case; the column is compared as it is."""
+    return build_enriched(registry_tables(spark, sf_dir), STATE.lower())
+
+
 def partners_of_state(spark, sf_dir):
     return build_partners(registry_tables(spark, sf_dir), STATE)
 
 
 def registry_duplicates(spark, sf_dir):
-    # The partners, many per company, stand in for a tax-regime table with repeated keys.
+    # The partners, many per company, give the tax-regime table repeated keys.
     found = registry_tables(spark, sf_dir)
-    return duplicate_report(found | {"simples": found["socios"]})
+    both = found["simples"].select("cnpj_basico").unionAll(found["socios"].select("cnpj_basico"))
+    return duplicate_report(found | {"simples": both})
 
 
 QUERIES = {
     "enriched_base": enriched_base,
     "enriched_base_no_many": enriched_base_no_many,
+    "enriched_lower_case_state": enriched_lower_case_state,
     "partners_of_state": partners_of_state,
     "registry_duplicates": registry_duplicates,
 }
@@ -86,7 +93,7 @@ left join simples t on e.cnpj_basico = t.cnpj_basico
 left join cnaes a on e.cnae_fiscal_principal = a.codigo
 left join naturezas n on c.natureza_juridica = n.codigo
 left join municipios m on e.municipio = m.codigo
-left join jucees j on e.cnpj = regexp_replace(j.cnpj, '[^0-9]', '', 'g')
+left join jucees j on e.cnpj = nullif(regexp_replace(j.cnpj, '[^0-9]', '', 'g'), '')
 {join}"""
 
 
@@ -97,15 +104,18 @@ def _repeated(name: str, key: str, source: str | None = None) -> str:
     )
 
 
+_BOTH = "(select cnpj_basico from simples union all select cnpj_basico from socios)"
+
 ORACLES = {
     "enriched_base": enriched_sql(),
     "enriched_base_no_many": enriched_sql(partners=False),
+    "enriched_lower_case_state": enriched_sql(),
     "partners_of_state": f"""
 with {registry_ctes()}
 select * from socios where cnpj_basico in (select cnpj_basico from estabelecimentos where uf = '{STATE}')""",
     "registry_duplicates": f"with {registry_ctes()}\n" + "\nunion all\n".join(
-        [_repeated("empresas", "cnpj_basico"), _repeated("simples", "cnpj_basico", "socios")]
+        [_repeated("empresas", "cnpj_basico"), _repeated("simples", "cnpj_basico", _BOTH)]
         + [_repeated(name, "codigo") for name in ("cnaes", "naturezas", "municipios")]
-        + [_repeated("jucees", "regexp_replace(cnpj, '[^0-9]', '', 'g')")]
+        + [_repeated("jucees", "nullif(regexp_replace(cnpj, '[^0-9]', '', 'g'), '')")]
     ),
 }

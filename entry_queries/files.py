@@ -7,8 +7,6 @@ session names (see ``regweave.storage.scratch_directory``).
 from __future__ import annotations
 
 import zipfile
-from collections.abc import Iterator
-
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +18,15 @@ from regweave.plans.jobs import build, run_together, stage
 from regweave.schemas import DATASETS, ENRICHED_SCHEMA, text_schema
 from regweave.sinks.tables import export_csv, export_single_csv, write_table, write_table_once
 from regweave.sources.archives import audit_archives, list_archives, read_zipped, storage_of
-from regweave.sources.datasets import RawRelease, StagedRelease, read_dataset
+from regweave.sources.datasets import RawRelease, StagedRelease, discover_release, read_dataset
 from regweave.sources.delimited import read_delimited, read_family, read_state_registry
-from regweave.storage import scratch_directory
+from regweave.storage import (
+    directory_names,
+    make_directory,
+    remove,
+    scratch_directory,
+    write_bytes,
+)
 
 _RAW_OPTIONS = {
     "sep": ";", "encoding": "ISO-8859-1", "quoteAll": "true", "escape": '"',
@@ -121,8 +125,7 @@ def _stage(spark: SparkSession, sf_dir: str, purpose: str) -> tuple[StagedReleas
     return staged, root
 
 
-def staged_slice(spark, sf_dir):
-    staged, _ = _stage(spark, sf_dir, "stage")
+def _count_tables(spark: SparkSession, staged: StagedRelease) -> DataFrame:
     counts = [
         staged.read(spark, name).agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("n_rows"))
         for name in DATASETS
@@ -133,44 +136,92 @@ def staged_slice(spark, sf_dir):
     return result
 
 
+def staged_slice(spark, sf_dir):
+    return _count_tables(spark, _stage(spark, sf_dir, "stage")[0])
+
+
+def restaged_slice(spark, sf_dir):
+    """A slice staged from a part of the establishments, then cut again from all of them."""
+    root = scratch_directory(spark, "restage")
+    raw = _write_raw_release(spark, sf_dir, f"{root}/raw")
+    part = RawRelease(f"{root}/part", raw.state_registry)
+    for name, dataset in DATASETS.items():
+        if dataset.prefix is not None:
+            rows = raw.read(spark, name)
+            few = rows.filter("cnpj_ordem like '%7'") if name == "estabelecimentos" else rows
+            few.write.options(**_RAW_OPTIONS).csv(f"{root}/part/{dataset.prefix}")
+    staged = StagedRelease(f"{root}/staged", "2026-01", STATE)
+    stage(spark, part, staged)
+    remove(spark, staged.path("estabelecimentos"))
+    stage(spark, raw, staged)
+    return _count_tables(spark, staged)
+
+
 def staged_enriched_base(spark, sf_dir):
     staged, root = _stage(spark, sf_dir, "build")
     build(spark, staged, f"{root}/output")
     return spark.read.schema(ENRICHED_SCHEMA).parquet(f"{root}/output/enriched")
 
 
+def enriched_csv_of_build(spark, sf_dir):
+    """The single CSV file that a build adds on request, as a reader gets it."""
+    staged, root = _stage(spark, sf_dir, "csv-build")
+    build(spark, staged, f"{root}/output", single_csv=True)
+    path = f"{root}/output/enriched.csv"
+    return read_delimited(spark, path, ENRICHED_SCHEMA, ",", "UTF-8", header=True)
+
+
+def latest_folder(spark, sf_dir):
+    """The newest of one release folder per month with orders, and of other folders."""
+    root = scratch_directory(spark, "releases")
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    label = F.when(F.col("o_orderstatus") == "P", F.lit("tmp")).otherwise(month).alias("label")
+    orders = table(spark, sf_dir, "orders").select(label, "o_orderkey")
+    orders.repartition("label").write.partitionBy("label").csv(f"{root}/by")
+    names = [name.removeprefix("label=") for name in directory_names(spark, f"{root}/by")]
+    for name in names:
+        make_directory(spark, f"{root}/releases/{name}")
+    newest = discover_release(spark, f"{root}/releases")
+    return spark.createDataFrame([(newest,)], "label string")
+
+
 def _zip_writer(directory: str):
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        context = TaskContext.get()
-        name = f"Pedidos{context.partitionId()}"
+    """Writes the archive of one group of lines, an entry for each part of it."""
+
+    def write(lines: pa.Table) -> pa.Table:
+        name = f"Pedidos{lines.column('archive')[0].as_py()}"
         system, target = storage_of(f"{directory}/{name}.zip")
         system.create_dir(target.rsplit("/", 1)[0], recursive=True)
-        attempt = f"{target}.{context.taskAttemptId()}"
-        rows = 0
+        attempt = f"{target}.{TaskContext.get().taskAttemptId()}"
+        entries: dict[int, list[str]] = {}
+        for entry, line in zip(lines.column("entry").to_pylist(), lines.column("line").to_pylist()):
+            entries.setdefault(entry, []).append(line)
         with system.open_output_stream(attempt) as sink:
             with zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as archive:
-                with archive.open(f"{name}.csv", "w", force_zip64=True) as entry:
-                    for batch in batches:
-                        rows += batch.num_rows
-                        text = "".join(line + "\n" for line in batch.column(0).to_pylist())
-                        entry.write(text.encode("ISO-8859-1"))
+                for entry, own in sorted(entries.items()):
+                    with archive.open(f"{name}-{entry}.csv", "w", force_zip64=True) as out:
+                        out.write("".join(line + "\n" for line in own).encode("ISO-8859-1"))
         # A task that runs twice replaces its archive with the same content.
         system.move(attempt, target)
-        yield pa.RecordBatch.from_pydict({"archive": [f"{name}.zip"], "n_rows": [rows]})
+        return pa.table({"archive": [f"{name}.zip"], "n_rows": [lines.num_rows]})
 
     return write
 
 
-def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = "concat(o_orderkey, ';', o_custkey, ';', o_orderstatus, ';\"', o_orderpriority, ' \"\"é\"\"; ã\"')"
-    return table(spark, sf_dir, "orders").select(F.expr(text).alias("line"))
+_ARCHIVES, _ENTRIES = 16, 4
+_ORDER_LINE = "concat(o_orderkey, ';', o_custkey, ';', o_orderstatus, ';\"', o_orderpriority, ' \"\"é\"\"; ã\"')"
 
 
 def _write_archives(spark: SparkSession, sf_dir: str) -> str:
-    """The orders as zipped text, one archive per task."""
+    """The orders as zipped text: by order number in archives, by customer in entries."""
     root = scratch_directory(spark, "archives")
-    lines = _order_lines(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
-    written = lines.mapInArrow(_zip_writer(root), "archive string, n_rows long")
+    lines = table(spark, sf_dir, "orders").selectExpr(
+        f"o_orderkey % {_ARCHIVES} as archive", f"o_custkey % {_ENTRIES} as entry",
+        f"{_ORDER_LINE} as line",
+    )
+    written = lines.groupBy("archive").applyInArrow(
+        _zip_writer(root), "archive string, n_rows long"
+    )
     written.write.format("noop").mode("overwrite").save()
     return root
 
@@ -181,10 +232,13 @@ def zip_scan(spark, sf_dir):
 
 
 def zip_audit(spark, sf_dir):
-    report = audit_archives(list_archives(spark, _write_archives(spark, sf_dir)))
-    return report.groupBy("ok").agg(
-        F.sum("n_bytes").alias("n_bytes"), F.count("bad_entry").alias("n_bad")
-    )
+    """One row per archive; the first ones are made unreadable before the audit."""
+    root = _write_archives(spark, sf_dir)
+    for name in ("Pedidos0.zip", "Pedidos1.zip"):
+        write_bytes(spark, f"{root}/{name}", b"cut off")
+    archives = list_archives(spark, root)
+    report = audit_archives(archives).join(archives, "archive")
+    return report.select("name", "n_entries", "n_bytes", "bad_entry", "ok")
 
 
 QUERIES = {
@@ -198,7 +252,10 @@ QUERIES = {
     "zip_scan": zip_scan,
     "zip_audit": zip_audit,
     "staged_slice": staged_slice,
+    "restaged_slice": restaged_slice,
     "staged_enriched_base": staged_enriched_base,
+    "enriched_csv_of_build": enriched_csv_of_build,
+    "latest_folder": latest_folder,
 }
 
 _KEPT = "(select cnpj_basico from estabelecimentos where uf = 'ES')"
@@ -228,14 +285,23 @@ ORACLES = {
     "zip_scan": """
         select cast(o_orderkey as varchar) as o_orderkey, cast(o_custkey as varchar) as o_custkey,
                o_orderstatus, o_orderpriority || ' "é"; ã' as note from orders""",
-    "zip_audit": """
-        select true as ok, cast(sum(length(cast(o_orderkey as varchar)) + length(cast(o_custkey as varchar))
-               + length(o_orderstatus) + length(o_orderpriority) + 15) as bigint) as n_bytes,
-               cast(0 as bigint) as n_bad
-        from orders""",
+    "zip_audit": f"""
+        select 'Pedidos' || cast(o_orderkey % {_ARCHIVES} as varchar) || '.zip' as name,
+               case when o_orderkey % {_ARCHIVES} > 1
+                 then count(distinct o_custkey % {_ENTRIES}) end as n_entries,
+               case when o_orderkey % {_ARCHIVES} > 1
+                 then cast(sum(length(cast(o_orderkey as varchar)) + length(cast(o_custkey as varchar))
+                   + length(o_orderstatus) + length(o_orderpriority) + 15) as bigint) end as n_bytes,
+               cast(null as varchar) as bad_entry, o_orderkey % {_ARCHIVES} > 1 as ok
+        from orders group by o_orderkey % {_ARCHIVES}""",
     "staged_slice": f"with {registry_ctes()}\n" + "\nunion all\n".join(
         f"select '{name}' as dataset, count(*) as n_rows from {name} {condition}"
         for name, condition in _STAGED.items()
     ),
     "staged_enriched_base": enriched_sql(),
+    # An empty text comes back from a CSV file as NULL; the tables hold none.
+    "enriched_csv_of_build": enriched_sql(),
+    "latest_folder": """
+        select max(strftime(o_orderdate, '%Y-%m')) as label from orders where o_orderstatus <> 'P'""",
 }
+ORACLES["restaged_slice"] = ORACLES["staged_slice"]

@@ -21,18 +21,22 @@ def semi_parent(spark, sf_dir):
     return semi_join(table(spark, sf_dir, "customer"), "c_custkey", slice_keys(spark, sf_dir), "o_custkey")
 
 
-def semi_lookup(spark, sf_dir):
-    customers = table(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING' and c_acctbal > 9000")
-    return semi_join(table(spark, sf_dir, "nation"), "n_nationkey", customers, "c_nationkey")
+# Keys that match nothing for some rows; valid in Spark SQL and in DuckDB.
+_RICH_NATION = (
+    "case when c_mktsegment = 'BUILDING' and c_acctbal > 9000 then c_nationkey else -1 end"
+)
+_SOLVENT_KEY = "case when c_acctbal >= 0 then c_custkey else -1 - c_custkey end"
+_SOLVENT_NAME = "case when c_acctbal >= 0 then c_name else concat(c_name, '/9') end"
 
 
-def _solvent_customers(spark, sf_dir):
-    return table(spark, sf_dir, "customer").filter("c_acctbal >= 0")
+def semi_lookup(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer").selectExpr(f"{_RICH_NATION} as c_nationkey")
+    return semi_join(table(spark, sf_dir, "nation"), "n_nationkey", customers, "c_nationkey")
 
 
 def left_parent(spark, sf_dir):
     parents = renamed(
-        _solvent_customers(spark, sf_dir),
+        table(spark, sf_dir, "customer").withColumn("c_custkey", F.expr(_SOLVENT_KEY)),
         {"c_custkey": "o_custkey", "c_name": "c_name", "c_nationkey": "c_nationkey"},
     )
     return left_join(table(spark, sf_dir, "orders"), "o_custkey", [Right(parents)])
@@ -48,9 +52,8 @@ def left_lookup(spark, sf_dir):
 
 def registry_enrich(spark, sf_dir):
     fact = slice_filter(spark, sf_dir).withColumn("registry_key", F.expr(_PADDED_KEY))
-    registry = prefixed(
-        _solvent_customers(spark, sf_dir), "reg_", ["c_name", "c_mktsegment"], keep=["c_name"]
-    )
+    named = table(spark, sf_dir, "customer").withColumn("c_name", F.expr(_SOLVENT_NAME))
+    registry = prefixed(named, "reg_", ["c_name", "c_mktsegment"], keep=["c_name"])
     joined = normalised_key_join(fact, "registry_key", registry, digits_only("c_name"))
     return joined.drop("c_name")
 
@@ -80,20 +83,19 @@ ORACLES = {
     "semi_parent": """
         select * from customer
         where c_custkey in (select o_custkey from orders where o_orderstatus = 'F')""",
-    "semi_lookup": """
-        select * from nation where n_nationkey in (
-            select c_nationkey from customer where c_mktsegment = 'BUILDING' and c_acctbal > 9000)""",
-    "left_parent": """
+    "semi_lookup": f"""
+        select * from nation where n_nationkey in (select {_RICH_NATION} from customer)""",
+    "left_parent": f"""
         select o.*, c.c_name, c.c_nationkey
-        from orders o left join (select * from customer where c_acctbal >= 0) c on o_custkey = c_custkey""",
-    "left_lookup": """
+        from orders o left join customer c on o_custkey = {_SOLVENT_KEY}""",
+    "left_lookup": f"""
         select o.*, c.c_name, c.c_nationkey, n.n_name as nation_name
-        from orders o left join (select * from customer where c_acctbal >= 0) c on o_custkey = c_custkey
+        from orders o left join customer c on o_custkey = {_SOLVENT_KEY}
         left join nation n on c.c_nationkey = n.n_nationkey""",
     "registry_enrich": f"""
         select {_PADDED_KEY} as registry_key, o.*,
                c.c_name as reg_c_name, c.c_mktsegment as reg_c_mktsegment
-        from orders o left join (select * from customer where c_acctbal >= 0) c
+        from orders o left join (select * replace ({_SOLVENT_NAME} as c_name) from customer) c
           on {_PADDED_KEY} = regexp_replace(c_name, '[^0-9]', '', 'g')
         where o_orderstatus = 'F'""",
     "summary_enrich": """

@@ -11,6 +11,16 @@ def test_flagship(spark):
     assert len(df.columns) == 63 and df.count() > 0
 
 
+def test_flagship_as_users_run_it(spark):
+    """With whole-stage code generation, which the other tests do without."""
+    key = "spark.sql.codegen.wholeStage"
+    spark.conf.set(key, "true")
+    try:
+        assert compare(spark, SMALL, "enriched_base") is None
+    finally:
+        spark.conf.set(key, "false")
+
+
 OWN = [name for module in registered.OWN for name in module.QUERIES]
 
 
