@@ -31,6 +31,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 # A key is spread when it holds more rows than this many average shuffle partitions.
 HOT_PARTITIONS = 4
+# Below this estimate of a table's size its keys are not counted: even if one key held all
+# of it, one task would manage. This changes the plan only, never the rows.
+SPREAD_BYTES = 256 << 20
 # Rows in memory may take this many times the broadcast threshold, which is meant for
 # compressed files.
 BROADCAST_EXPANSION = 8
@@ -81,13 +84,17 @@ def _row_bytes(df: DataFrame) -> Column:
     return reduce(Column.__add__, sizes, F.lit(8 * len(df.columns))).cast("bigint")
 
 
+def _estimate(df: DataFrame) -> int:
+    """Spark's own estimate of a table's bytes."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def measure(rights: Sequence[Right]) -> None:
     """Decide for all ``rights`` whether they can be broadcast, in one Spark job."""
     candidates = []
     for right in rights:
         if right.small is None:
-            estimate = int(right.df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-            right.small = estimate <= _broadcast_limit(right.df.sparkSession)
+            right.small = _estimate(right.df) <= _broadcast_limit(right.df.sparkSession)
             if right.small:
                 candidates.append(right)
     if not candidates:
@@ -224,13 +231,13 @@ def prepare(joins: Sequence[Join], also: Sequence[Right] = ()) -> None:
     for join in joins:
         if join.hot is None:
             join.hot = [{} for _ in range(len(join.shuffled) + 1)]
-            if join.shuffled:
+            if join.shuffled and _estimate(join.sketch) >= SPREAD_BYTES:
                 sides.append((join.sketch, join.key))
                 owners.append((join, 0))
             for i, right in enumerate(join.shuffled, start=1):
                 # A NULL on the right matches nothing, and Spark filters it out before
                 # the shuffle.
-                if not right.unique:
+                if not right.unique and _estimate(right.df) >= SPREAD_BYTES:
                     sides.append((right.df.filter(F.col(join.key).isNotNull()), join.key))
                     owners.append((join, i))
     for (join, i), found in zip(owners, hot_keys(sides)):
@@ -351,7 +358,7 @@ def semi_join(
     if not wanted.unique:
         wanted_keys = wanted_keys.distinct()
     hot = {}
-    if spread:
+    if spread and _estimate(df) >= SPREAD_BYTES:
         (hot,) = hot_keys([(df.filter(F.col(column).isNotNull()), column)])
     if not hot:
         return df.join(wanted.shuffled(wanted_keys), column, "left_semi").select(*df.columns)

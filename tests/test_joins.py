@@ -24,6 +24,7 @@ def keyed(spark, rows, hot, columns, distinct=40, null_share=0.1, hot_share=0.4,
 @pytest.fixture
 def hot_is_twice_average(monkeypatch):
     monkeypatch.setattr(joins, "HOT_PARTITIONS", 2)
+    monkeypatch.setattr(joins, "SPREAD_BYTES", 0)
 
 
 @pytest.mark.parametrize("left_hot, right_hots", [
@@ -220,3 +221,11 @@ def test_several_joins_are_prepared_together(spark, bag, no_broadcast, hot_is_tw
     got = joins.apply(joins.apply(left, first), second)
     want = left.join(first.rights[0].df, "k", "left").join(renamed, "b", "left")
     assert bag(got.select(want.columns)) == bag(want)
+
+
+def test_keys_of_small_tables_are_not_counted(spark, no_broadcast, monkeypatch):
+    left = keyed(spark, 300, "k1", ["a"])
+    join = joins.Join("k", [Right(keyed(spark, 60, "k1", ["r"], seed=3))], left)
+    monkeypatch.setattr(joins, "hot_keys", lambda sides: [{}] * len(sides) if not sides else 1 / 0)
+    joins.prepare([join])
+    assert join.hot == [{}, {}]
