@@ -121,3 +121,35 @@ def runs(batches: Iterator[pa.RecordBatch], key: int = 0) -> Iterator[pa.Table]:
             held.append(batch.slice(start, end - start))
     if held:
         yield pa.Table.from_batches(held)
+
+
+def whole_groups(
+    batches: Iterator[pa.RecordBatch], key: str, limit_bytes: int
+) -> Iterator[pa.Table]:
+    """Tables of whole groups from batches sorted by ``key``, of about ``limit_bytes`` each or
+    of one group."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += batch.nbytes
+        if size < limit_bytes:
+            continue
+        table = pa.Table.from_batches(held)
+        values = table.column(key).to_numpy()
+        starts = np.flatnonzero(values[1:] != values[:-1]) + 1
+        # A batch may hold many times the limit, so it is cut at several places.
+        pieces = max(1, size // limit_bytes)
+        wanted = np.linspace(0, table.num_rows, pieces + 1)[1:]
+        cuts = np.unique(starts[np.searchsorted(starts, wanted, side="right") - 1]) if len(starts) else []
+        last = 0
+        for cut in list(cuts):
+            if cut > last:
+                yield table.slice(last, int(cut) - last)
+                last = int(cut)
+        held = [b for b in table.slice(last).to_batches() if b.num_rows]
+        size = size * (table.num_rows - last) // table.num_rows
+    if held:
+        yield pa.Table.from_batches(held)

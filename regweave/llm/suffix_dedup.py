@@ -34,10 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regweave.llm.common import as_bytes
-from regweave.llm.packed import PACKED, in_batches, pack, parts_for, positions, repeated, runs, unpack
+from regweave.llm.packed import (
+    PACKED, in_batches, pack, parts_for, positions, repeated, unpack, whole_groups,
+)
 
-_STEP = 512 << 10
-_SHARD_BYTES = 1 << 20
+_STEP = 256 << 10
+_SHARD_BYTES = 1 << 19
+_BATCH_BYTES = 2 << 20
 _NO_ID = np.iinfo(np.int64).max
 _random = np.random.Generator(np.random.PCG64(20240229))
 _BYTE_VALUES = _random.integers(1, 2**64, (2, 256), np.uint64)
@@ -399,23 +402,24 @@ def _merge_all(table: pa.Table, marks: _Marks) -> None:
 
 def _shard(length: int):
     """Marks of first occurrences, from rows sorted by kind and key."""
+    names = ("key", "doc_id", "tie", "row", "start", "batch", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks, held, size = _Marks(), [], 0
-        for table in runs(batches, 1):
-            if table.column("kind")[0].as_py():
-                _merge_all(table, marks)
-            else:
-                names = ("key", "doc_id", "tie", "row", "start", "batch", "content")
-                rows = list(zip(*[table.column(name).to_pylist() for name in names]))
-                held += rows
-                size += sum(len(row[6]) for row in rows)
-                if size >= _SHARD_BYTES:
-                    _solve(held, length, marks)
-                    held, size = [], 0
-            if marks.count > 100_000:
+        marks = _Marks()
+        for table in whole_groups(batches, "key", _SHARD_BYTES):
+            kinds = table.column("kind").to_numpy()
+            cut = int(np.searchsorted(kinds, 1))
+            if cut:
+                own = table.slice(0, cut)
+                _solve(list(zip(*[own.column(name).to_pylist() for name in names])), length, marks)
+            frequent = table.slice(cut)
+            keys = frequent.column("key").to_numpy()
+            edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            for begin, end in zip(edges, edges[1:]):
+                if begin < end:
+                    _merge_all(frequent.slice(begin, end - begin), marks)
+            if marks.count > 50_000:
                 yield marks.take()
-        _solve(held, length, marks)
         yield marks.take()
 
     return run
@@ -484,7 +488,7 @@ def dedup(
     come in the order of a hash of their texts, and of rows equal in both one is first. NULL
     and short texts lose nothing. Ids must be integers. An empty table gives no rows.
     """
-    rows, size = in_batches(docs, doc_id, text)
+    rows, size = in_batches(docs, doc_id, text, _BATCH_BYTES)
     by_batch = rows.groupBy("batch")
     keys = by_batch.applyInArrow(_batch_keys(length, parts_for(size // 32)), PACKED)
     shared = repeated(keys)
