@@ -117,6 +117,8 @@ def test_entries_of_one_archive_are_decoded_by_many_tasks(spark, plan, tmp_path)
     archives = list_archives(spark, str(tmp_path))
     got = read_zipped(archives, ABC)
     assert "rangepartitioning(archive" in plan(got) and ", 50)" in plan(got)
+    # Enough equal entries: parsed and filtered where they are decoded, not moved before.
+    assert "REBALANCE" not in plan(got.filter("a = '1'"))
     assert sorted(int(row.a) for row in got.collect()) == list(range(50))
     assert list_entries(archives).agg({"size": "sum"}).first()[0] == sum(
         len(f"{i};b;c\n") for i in range(50)
@@ -124,6 +126,12 @@ def test_entries_of_one_archive_are_decoded_by_many_tasks(spark, plan, tmp_path)
     assert tuple(audit_archives(archives).first())[1:] == (50, 340, None, True)
 
 
+def test_lines_of_one_large_entry_are_spread(spark, plan, tmp_path):
+    zipped(tmp_path / "x.zip", {"1.csv": b"1;b;c\n" * 5000, "2.csv": b"2;b;c\n"})
+    got = read_zipped(list_archives(spark, str(tmp_path)), ABC)
+    assert "REBALANCE" in plan(got) and got.count() == 5001
+
+
 @pytest.mark.parametrize("location, uri", [
     ("abfss://box@acc.example.net/a b/x.zip", "abfss://box@acc.example.net/a%20b/x.zip"),
     ("hdfs://nn:8020/a/x y.zip", "hdfs://nn:8020/a/x%20y.zip"),
