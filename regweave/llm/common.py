@@ -86,6 +86,13 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def small_side(rows: DataFrame, purpose: str, limit: int = 100_000) -> DataFrame:
+    """``rows``, narrow and usually few, as the right side of a join: written, counted, and
+    broadcast up to ``limit`` rows; beyond that they are joined by a shuffle."""
+    kept = stored(rows, purpose)
+    return F.broadcast(kept) if kept.count() <= limit else kept.hint("shuffle_hash")
+
+
 def attach_groups(
     rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int
 ) -> DataFrame:

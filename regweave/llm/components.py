@@ -27,26 +27,24 @@ def components(links: DataFrame, first: str = "a", second: str = "b") -> DataFra
         links.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(),
         "links",
     )
-    while True:
-        total = 2 * edges.count()
-        if not total:
-            break
+    # An upper bound of the rows of every round, as rounds never add links.
+    total = 2 * edges.count()
+    while total:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = (
             _nearest(both, total).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .where("u != v").distinct()
+            .where("u != v")
         )
         large = stored(large, "large-star")
         small = _nearest(large, total)
         joined = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             small.select("u", F.col("m").alias("v"))
         )
-        step = stored(joined.where("u != v").distinct(), "small-star")
-        # Done when all nodes point to a node that points nowhere itself.
-        unfinished = step.join(step.select(F.col("u").alias("v")), "v", "left_semi").take(1)
-        shared = step.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").take(1)
-        edges = step
-        if not unfinished and not shared:
+        edges = stored(joined.where("u != v").distinct(), "small-star")
+        # Done when all nodes point to one node that points nowhere itself.
+        pointing = edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").select("u")
+        doubled = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u")
+        if not pointing.unionByName(doubled).take(1):
             break
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

@@ -30,14 +30,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regweave.llm.common import as_bytes, attach_groups, space_words, stored
+from regweave.llm.common import as_bytes, attach_groups, small_side, space_words, stored
 from regweave.llm.components import components
 from regweave.llm.packed import (
-    PACKED, in_batches, pack, parts_for, positions, repeated, runs, unpack,
+    PACKED, in_batches, pack, parts_for, positions, repeated, unpack, whole_groups,
 )
 
-_SIGNATURE_BITS = 512
+_GROUP_BITS = 512  # of a bitmap that travels with each prefix token
+_FULL_BITS = 4096  # of a bitmap made where the full set is at hand
 _LEAF = 16
+_SMALL = 8
+_CHUNK_BYTES = 4 << 20
 _MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64
 )
@@ -98,13 +101,17 @@ class Bounds:
         return (100 + self.percent) * overlap >= self.percent * (m + n)
 
 
-def signature(tokens: np.ndarray) -> tuple[int, np.ndarray]:
-    """(level, bitmap): the tokens with ``level`` leading zero bits, hashed to 512 bits."""
-    level = max(0, int(len(tokens) - 1).bit_length() - 8)
+def signature(tokens: np.ndarray, width: int) -> tuple[int, np.ndarray]:
+    """(level, bitmap): the tokens with ``level`` leading zero bits, hashed to ``width`` bits.
+
+    The level keeps their number at half the width or less.
+    """
+    places = width.bit_length() - 1
+    level = max(0, int(len(tokens) - 1).bit_length() - places + 1)
     if level:
         tokens = tokens[: np.searchsorted(tokens, np.uint64(1) << np.uint64(64 - level))]
-    bits = np.zeros(_SIGNATURE_BITS, np.uint8)
-    bits[(tokens << np.uint64(level) >> np.uint64(55)).astype(np.int64)] = 1
+    bits = np.zeros(width, np.uint8)
+    bits[(tokens << np.uint64(level) >> np.uint64(64 - places)).astype(np.int64)] = 1
     return level, np.packbits(bits, bitorder="little").view(np.uint64)
 
 
@@ -114,8 +121,7 @@ def _bits(bitmaps: np.ndarray) -> np.ndarray:
 
 def _coarser(bitmaps: np.ndarray) -> np.ndarray:
     """The half of each bitmap that the next level covers too."""
-    half = _bits(bitmaps)[:, : _SIGNATURE_BITS // 2]
-    return np.packbits(half, axis=1, bitorder="little").view(np.uint64)
+    return bitmaps[:, : bitmaps.shape[1] // 2]
 
 
 def _paired(bitmaps: np.ndarray) -> np.ndarray:
@@ -125,13 +131,25 @@ def _paired(bitmaps: np.ndarray) -> np.ndarray:
     return np.packbits(either, axis=1, bitorder="little").view(np.uint64)
 
 
+def _weights(bitmaps: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(bitmaps).sum(axis=1).astype(np.int64)
+
+
+def _allowed(bounds: Bounds, m, n, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether sets of sizes m and n with these bitmaps may be linked: a set lacks at least
+    as many tokens of the other as bits of its bitmap."""
+    common = _weights(one & other)
+    overlap = np.minimum(m - (_weights(one) - common), n - (_weights(other) - common))
+    return bounds.linked(np.minimum(overlap, np.minimum(m, n)), m, n)
+
+
 class SignatureTree:
     """Sets in order of size under binary nodes; finds linked pairs by dual traversal."""
 
     def __init__(self, bounds: Bounds, sizes: np.ndarray, bitmaps: np.ndarray):
         """``bitmaps`` must all be of one level. ``sizes`` ascend."""
         self.bounds, self.sizes, self.bitmaps = bounds, sizes, bitmaps
-        self.weights = np.bitwise_count(bitmaps).sum(axis=1).astype(np.int64)
+        self.weights = _weights(bitmaps)
         self.label = np.arange(len(sizes))
         self.members = {i: [i] for i in range(len(sizes))}
         self.nodes: dict[tuple[int, int], tuple] = {}
@@ -179,10 +197,9 @@ class SignatureTree:
         i, j = i.ravel(), j.ravel()
         keep = (i < j) & (self.label[i] != self.label[j])
         i, j = i[keep], j[keep]
-        m, n = self.sizes[i], self.sizes[j]
-        common = np.bitwise_count(self.bitmaps[i] & self.bitmaps[j]).sum(axis=1).astype(np.int64)
-        overlap = np.minimum(m - (self.weights[i] - common), n - (self.weights[j] - common))
-        keep = self.bounds.linked(np.minimum(overlap, np.minimum(m, n)), m, n)
+        keep = _allowed(
+            self.bounds, self.sizes[i], self.sizes[j], self.bitmaps[i], self.bitmaps[j]
+        )
         yield from zip(i[keep].tolist(), j[keep].tolist())
 
     def forest(self, verify=None) -> list[tuple[int, int]]:
@@ -304,7 +321,7 @@ def _explode_probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         for node, size, tokens, probes in zip(*[column.to_pylist() for column in batch.columns]):
             found = np.frombuffer(probes, np.uint64)
-            level, bitmap = signature(np.frombuffer(tokens, np.uint64))
+            level, bitmap = signature(np.frombuffer(tokens, np.uint64), _GROUP_BITS)
             count = len(found)
             for start in range(0, count, 4096):
                 own = found[start : start + 4096]
@@ -323,10 +340,10 @@ def _split_large(rows: DataFrame, key: str, load, limit: int) -> DataFrame:
     """``rows`` with a column ``group``: the key, or for a key whose load exceeds ``limit`` one
     of the pairs of blocks into which its rows are divided."""
     total = rows.groupBy(key).agg(F.sum(load).alias("_load"))
-    # Keys above the limit are at most the whole load divided by it.
-    large = F.broadcast(
+    large = small_side(
         total.where(F.col("_load") > limit)
-        .select(key, F.ceil(F.col("_load") / limit).cast("int").alias("_blocks"))
+        .select(key, F.ceil(F.col("_load") / limit).cast("int").alias("_blocks")),
+        "large-groups",
     )
     own = F.pmod(F.xxhash64("node", F.lit(7)), F.col("_blocks")).cast("int")
     pairs = F.transform(
@@ -337,26 +354,67 @@ def _split_large(rows: DataFrame, key: str, load, limit: int) -> DataFrame:
     return rows.join(large, key, "left").withColumn("group", F.explode(split)).drop("_blocks")
 
 
+def _small_groups(bounds: Bounds, small, groups, nodes, sizes, levels, maps) -> np.ndarray:
+    """Pairs of rows of the same group of at most ``_SMALL``, all groups at once."""
+    found = []
+    for distance in range(1, _SMALL):
+        i = np.flatnonzero(small[:-distance] & (groups[:-distance] == groups[distance:]))
+        j = i + distance
+        low, high = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
+        near = (100 * low >= bounds.percent * high) & (nodes[i] != nodes[j])
+        near &= abs(levels[i] - levels[j]) <= 1
+        i, j = i[near], j[near]
+        upper = levels[i] > levels[j]
+        i, j = np.where(upper, j, i), np.where(upper, i, j)  # i has the lower level
+        across = levels[i] != levels[j]
+        for own, left, right in ((~across, None, None), (across, _coarser, _paired)):
+            a, b = i[own], j[own]
+            if len(a):
+                one, other = maps[a], maps[b]
+                if left is not None:
+                    one, other = np.ascontiguousarray(left(one)), right(other)
+                keep = _allowed(bounds, sizes[a], sizes[b], one, other)
+                found.append(np.stack([nodes[a[keep]], nodes[b[keep]]], axis=1))
+    return np.concatenate(found) if found else np.empty((0, 2), np.int64)
+
+
+def _spanning(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Those of the pairs that connect what all of them connect."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    kept = []
+    for a, b in pairs:
+        root, other = find(a), find(b)
+        if root != other:
+            parent[root] = other
+            kept.append((a, b))
+    return kept
+
+
 def _group_links(bounds: Bounds):
     """Candidate links of token groups, from rows sorted by group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = []
-        for table in runs(batches):
-            if table.num_rows > 1:
-                nodes, place = np.unique(table.column("node").to_numpy(), return_index=True)
-                if len(nodes) > 1:
-                    maps = np.frombuffer(
-                        b"".join(table.column("bitmap").to_pylist()), np.uint64
-                    ).reshape(table.num_rows, -1)
-                    held += _forests(
-                        bounds, nodes, table.column("n_shingles").to_numpy()[place],
-                        table.column("level").to_numpy()[place], maps[place],
-                    )
-            if len(held) > 10_000:
-                yield _links(held)
-                held = []
-        yield _links(held)
+        for table in whole_groups(batches, "group", _CHUNK_BYTES):
+            groups, nodes, sizes, levels = (
+                table.column(name).to_numpy() for name in ("group", "node", "n_shingles", "level")
+            )
+            maps = np.frombuffer(b"".join(table.column("bitmap").to_pylist()), np.uint64)
+            maps = maps.reshape(table.num_rows, -1)
+            begin = np.flatnonzero(np.append(True, groups[1:] != groups[:-1]))
+            lengths = np.diff(np.append(begin, len(groups)))
+            small = np.repeat(lengths <= _SMALL, lengths)
+            pairs = _small_groups(bounds, small, groups, nodes, sizes, levels, maps)
+            found = list(map(tuple, np.unique(pairs, axis=0).tolist()))
+            for start, length in zip(*[x[lengths > _SMALL].tolist() for x in (begin, lengths)]):
+                own = slice(start, start + length)
+                found += _forests(bounds, nodes[own], sizes[own], levels[own], maps[own])
+            yield _links(_spanning(found))
 
     return run
 
@@ -376,7 +434,7 @@ def _verified_links(bounds: Bounds):
         tokens = table.column("tokens").combine_chunks()
         sets = [np.frombuffer(tokens[i].as_buffer(), np.uint64) for i in place.tolist()]
         sizes = np.array([len(s) for s in sets], np.int64)
-        marks = [signature(s) for s in sets]
+        marks = [signature(s, _FULL_BITS) for s in sets]
 
         def verify(i: int, j: int) -> bool:
             small, large = sorted((sets[i], sets[j]), key=len)

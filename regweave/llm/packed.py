@@ -104,25 +104,6 @@ def positions(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
-def runs(batches: Iterator[pa.RecordBatch], key: int = 0) -> Iterator[pa.Table]:
-    """Tables of consecutive rows with the same key, from batches sorted by it."""
-    held: list[pa.RecordBatch] = []
-    current = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        values = batch.column(key).to_numpy(zero_copy_only=False)
-        cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
-        for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(values)]):
-            if held and values[start] != current:
-                yield pa.Table.from_batches(held)
-                held = []
-            current = values[start]
-            held.append(batch.slice(start, end - start))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def whole_groups(
     batches: Iterator[pa.RecordBatch], key: str, limit_bytes: int
 ) -> Iterator[pa.Table]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from regweave.llm import (
     components, exact_dedup, jaccard, mixing, packed, suffix_dedup, toxicity, warc,
 )
-from regweave.llm.common import attach_groups, id_remainder
+from regweave.llm.common import attach_groups, id_remainder, small_side
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -69,6 +69,27 @@ def test_attach_groups_splits_large_groups(spark):
     assert got.count() == 3000 and got.where("n = 1000").count() == 1000
 
 
+def test_only_counted_sides_are_broadcast(spark, plan):
+    left, right = spark.range(50), spark.range(10)
+    for limit, wanted in ((10, True), (9, False)):
+        joined = left.join(small_side(right, "side", limit), "id")
+        assert ("BroadcastHashJoin" in plan(joined)) == wanted and joined.count() == 10
+
+
+def test_whole_groups_are_never_cut():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    for limit in (1, 100, 10**9):
+        keys = np.sort(rng.integers(0, 30, 500))
+        table = pa.table({"g": keys, "x": np.arange(500)})
+        found = list(packed.whole_groups(iter(table.to_batches(max_chunksize=37)), "g", limit))
+        assert pa.concat_tables(found).column("x").to_pylist() == list(range(500))
+        groups = [set(t.column("g").to_pylist()) for t in found]
+        assert sum(map(len, groups)) == len(set(keys.tolist()))
+    assert len(found) == 1
+
+
 # Suffix dedup
 
 def test_suffix_array_and_common_prefixes():
@@ -151,9 +172,10 @@ def near_copies():
     return pairs
 
 
-@pytest.mark.parametrize("limits", [{}, {"group_rows": 4, "group_tokens": 2000}])
-@pytest.mark.parametrize("percent, width", [(85, 4), (80, 5)])
-def test_jaccard_equals_brute_force(spark, make, awkward, limits, percent, width):
+@pytest.mark.parametrize("percent, width, limits", [
+    (85, 4, {}), (80, 5, {"group_rows": 4, "group_tokens": 2000}),
+])
+def test_jaccard_equals_brute_force(make, awkward, percent, width, limits):
     pairs = awkward + near_copies()
     got = jaccard.join(make(pairs), percent, width, **limits)
     assert rows(got) == brute.jaccard_components(pairs, percent, width)
@@ -176,7 +198,7 @@ def test_tree_finds_all_links_of_random_sets():
             change = rng.integers(0, size, rng.integers(0, max(1, size // 6) + 1))
             own[change] = rng.integers(0, 2**63, len(change)).astype(np.uint64)
             sets.append(np.unique(own[: size - rng.integers(0, size // 8 + 1)]))
-        marks = [jaccard.signature(s) for s in sets]
+        marks = [jaccard.signature(s, jaccard._GROUP_BITS) for s in sets]
 
         def linked(i, j):
             return bounds.linked(len(np.intersect1d(sets[i], sets[j])), len(sets[i]), len(sets[j]))
