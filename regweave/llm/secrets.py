@@ -38,17 +38,41 @@ CLASSES = (
     (re.compile(r"[A-Za-z0-9]+"), 3.7),
     (re.compile(r"[A-Za-z0-9+/=_-]+"), 3.9),
 )
+#: Maximal runs inside a candidate that are judged by their own class as well.
+_RUNS = tuple(re.compile(r) for r in (r"[0-9a-f]{20,}", r"[0-9A-F]{20,}", r"[A-Za-z0-9]{20,}"))
 
 #: Look-alikes that are no secrets. They suppress entropy spans that they overlap.
 ALLOWED = re.compile(
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"  # UUID
     r"|sha(?:1|256|384|512)[-:=][A-Za-z0-9+/=]+"  # published digests
     r"|https?://[^\s\"'<>]+"  # addresses
-    r"|(?:[A-Za-z0-9]{1,14}[-_/=+]){2,}[A-Za-z0-9]{1,14}"  # names of short parts
     r"|(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]*(?:EXAMPLE|example|placeholder|PLACEHOLDER|xxxx|XXXX)[A-Za-z0-9+/=_-]*"
     r"|0123456789abcdef|ABCDEFGHIJKLMNOPQRSTUVWXYZ|abcdefghijklmnopqrstuvwxyz"
 )
 
+_SEPARATORS = re.compile(r"[-_/=+]+")
+#: A part of a name: a number, a word in one case or in camel case, with few digits at an end.
+_WORDLIKE = re.compile(
+    r"[0-9]+|[0-9]{1,4}[a-z]{1,3}|(?:[a-z]+|[A-Z]+|[A-Z]?[a-z]+(?:[A-Z][a-z]+)*)[0-9]{0,4}"
+)
+_PREFIX = re.compile(r"([^=]*)=+(?=[^=])")
+
+
+def _wordlike(run: str) -> int:
+    """The number of parts of ``run``; 0 if one of them does not look like a word."""
+    parts = [part for part in _SEPARATORS.split(run) if part]
+    return len(parts) if all(map(_WORDLIKE.fullmatch, parts)) else 0
+
+
+def _value_start(run: str) -> int:
+    """Where the value starts behind names and '=', if it is long enough for a key."""
+    start = 0
+    while (m := _PREFIX.match(run, start)) and len(run) - m.end() >= WINDOW:
+        if m[1] and not _wordlike(m[1]):
+            break
+        start = m.end()
+    return start
+
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, end, kind number) of the fixed patterns, by start, then kind."""
@@ -90,14 +114,41 @@ def high_entropy(run: str, needed: float, window: int = WINDOW) -> list[tuple[in
     return spans
 
 
+def _class_bits(run: str) -> float:
+    return next(bits for pattern, bits in CLASSES if pattern.fullmatch(run))
+
+
+def _windows(run: str) -> list[tuple[int, int]]:
+    """Merged windows that their candidate's class or that of a run in it finds."""
+    needed = _class_bits(run)
+    if needed == math.inf or _wordlike(run) > 2:  # three or more words are a name
+        return []
+    found = high_entropy(run, needed)
+    for pattern in _RUNS:
+        for m in pattern.finditer(run):
+            bits = _class_bits(m[0])
+            if bits < needed:
+                found += [(m.start() + s, m.start() + e) for s, e in high_entropy(m[0], bits)]
+    merged: list[tuple[int, int]] = []
+    for start, end in sorted(found):
+        if merged and start <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
+        else:
+            merged.append((start, end))
+    return merged
+
+
 def entropy_spans(text: str) -> list[tuple[int, int, int]]:
-    """High-entropy spans that no allow-listed text overlaps."""
+    """High-entropy spans that no allow-listed text overlaps.
+
+    ``name=`` in front of a value of at least a window is no part of the candidate. A
+    candidate that consists of three or more word-like parts is a name and has no spans.
+    """
     found = []
     for candidate in _CANDIDATE.finditer(text):
-        run, offset = candidate[0], candidate.start()
-        needed = next(bits for pattern, bits in CLASSES if pattern.fullmatch(run))
-        if needed < math.inf:
-            found += [(offset + s, offset + e, 3) for s, e in high_entropy(run, needed)]
+        offset = candidate.start() + _value_start(candidate[0])
+        run = text[offset : candidate.end()]
+        found += [(offset + s, offset + e, 3) for s, e in _windows(run)]
     if not found:
         return []
     covers = [m.span() for m in ALLOWED.finditer(text)]

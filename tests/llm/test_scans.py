@@ -116,6 +116,32 @@ def test_secret_spans(make, awkward):
     assert digest[15] == secrets.base_digest("a" * 5000)
 
 
+def test_keys_with_separators_keep_their_spans():
+    random.seed(9)
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+    def covered(text, start, end):
+        return sum(min(e, end) - max(s, start) for s, e, _ in secrets.entropy_spans(text)
+                   if s < end and start < e) > (end - start) / 2
+
+    for prefix, alphabet, length in [
+        ("", alnum + "+/", 40), ("", alnum + "-_", 43), ("", alnum + "+/", 64),
+        ("private_key=", alnum + "+/", 40), ("client_id=", alnum, 40), ("sk_live_", alnum, 24),
+        ("a/b/c=", "0123456789abcdef", 32), ("to/the/commit/", "0123456789abcdef", 40),
+    ]:
+        found = 0
+        for _ in range(200):
+            key = "".join(random.choices(alphabet, k=length))
+            start = len("x " + prefix)
+            found += covered(f"x {prefix}{key} y", start, start + length)
+        assert found > 190, prefix
+    key = "ab/cd+ef_q7Zp2LxV9tRw4KsB8mYd3NfH"
+    assert secrets.entropy_spans(f"client_id={key}") == [(10, 10 + len(key), 3)]
+    for name in ["usr/lib/python3/dist-packages/setuptools", "my-long_name/OfSomeThing2/v10",
+                 "/etc/systemd/system/multi-user/network"]:
+        assert secrets.entropy_spans(f"see {name} there") == []
+
+
 # Toxicity
 
 def test_folding_and_exceptions():
