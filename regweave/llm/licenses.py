@@ -27,7 +27,8 @@ BASE_PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-#: label, keyword, the name as it is written, its SPDX identifier as words.
+#: label, keyword, the name as it is written, its SPDX identifier as words. All forms
+#: of a row contain its keyword; where they share none, each has its own row (None: no form).
 _NAMES = [
     ("mit", "mit", "mit", "mit"),
     ("mit-0", "mit", "mit (?:no attribution|0)", "mit 0"),
@@ -53,19 +54,22 @@ _NAMES = [
     ("cddl-1", "cddl", "cddl(?: version| v)? ?v?1(?: 0)?", "cddl 1 0"),
     ("eupl-1.2", "1 2", "(?:eupl|european union public licen[sc]e)(?: version| v)? ?v?1 2", "eupl 1 2"),
     ("artistic-2", "artistic", "artistic(?: licen[sc]e)?(?: version| v)? 2(?: 0)?", "artistic 2 0"),
-    ("bsl-1", "boost", "boost software licen[sc]e(?: version| v)?(?: 1(?: 0)?)?", "bsl 1 0"),
+    ("bsl-1", "boost", "boost software licen[sc]e(?: version| v)?(?: 1(?: 0)?)?", None),
+    ("bsl-1", "bsl 1 0", None, "bsl 1 0"),
     ("zlib", "zlib", "zlib(?: libpng)?", "zlib"),
     ("unlicense", "unlicen", "unlicen[sc]e", "unlicense"),
     ("wtfpl", "wtfpl", "wtfpl(?: 2)?", "wtfpl"),
     ("postgresql", "postgresql", "postgresql", "postgresql"),
-    ("python-2", "python", "python(?: software foundation)?", "(?:python|psf) 2 0"),
+    ("python-2", "python", "python(?: software foundation)?", "python 2 0"),
+    ("python-2", "psf 2 0", None, "psf 2 0"),
     ("php-3", "php", "php(?: licen[sc]e)?(?: version| v)? 3(?: 0[0-9]?)?", "php 3 01"),
     ("openssl", "openssl", "openssl", "openssl"),
     ("ofl-1.1", "1 1", "(?:sil )?(?:ofl|open font licen[sc]e)(?: version| v)? ?v?1 1", "ofl 1 1"),
     ("odbl-1", "odbl", "odbl(?: version| v)?(?: 1(?: 0)?)?", "odbl 1 0"),
     ("pddl-1", "pddl", "pddl(?: version| v)?(?: 1(?: 0)?)?", "pddl 1 0"),
     ("cc0-1", "cc0", "(?:creative commons )?cc0(?: 1 0)?(?: universal)?", "cc0 1 0"),
-    ("cc-by", "by", "(?:cc by|creative commons attribution)(?: [1-4] [05])?", "cc by [1-4] [05]"),
+    ("cc-by", "cc by", "cc by(?: [1-4] [05])?", "cc by [1-4] [05]"),
+    ("cc-by", "attribution", "creative commons attribution(?: [1-4] [05])?", None),
     ("cc-by-sa", "sa", "cc by sa(?: [1-4] [05])?", "cc by sa [1-4] [05]"),
     ("cc-by-sa", "alike", "creative commons attribution share ?alike(?: [1-4] [05])?", "cc by share alike"),
     ("cc-by-nd", "nd", "cc by nd(?: [1-4] [05])?", "cc by nd [1-4] [05]"),
@@ -128,8 +132,9 @@ def rules() -> list[dict]:
         add(f"base {label}", label, phrase, phrase, phrase, 3, 0.9, True)
     for kind, cue, context, priority, confidence in _CONTEXTS:
         for label, keyword, name, spdx in _NAMES:
-            pattern = context.format(name=name, spdx=spdx)
-            add(f"{kind} {label}", label, cue, keyword, pattern, priority, confidence)
+            if (spdx if kind == "tag" else name) is not None:
+                pattern = context.format(name=name, spdx=spdx)
+                add(f"{kind} {label}", label, cue, keyword, pattern, priority, confidence)
     for label, cue, pattern in _SENTENCES:
         weak = label in ("gpl", "lgpl", "agpl", "bsd", "proprietary", "public-domain")
         add(f"text {label}", label, cue, cue, pattern, 1 if weak else 4, 0.6 if weak else 0.95)

@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import re
 
 import brute
 import pytest
@@ -72,6 +73,65 @@ def test_license_scan_of_an_empty_table(make):
     assert licenses.report(licenses.scan(make([]))).collect() == []
 
 
+def samples(pattern):
+    """A text for every combination of a pattern's alternatives, options and classes."""
+
+    def of(nodes):
+        return ["".join(p) for p in itertools.product(*(one(*node) for node in nodes))]
+
+    def one(kind, value):
+        kind = str(kind)
+        if kind == "LITERAL":
+            return [chr(value)]
+        if kind == "ANY":
+            return ["x"]
+        if kind == "IN":
+            return [c for k, v in value for c in (
+                [chr(v)] if str(k) == "LITERAL" else [chr(v[0]), chr(v[1])]
+            )]
+        if kind == "BRANCH":
+            return [text for branch in value[1] for text in of(branch)]
+        if kind == "SUBPATTERN":
+            return of(value[3])
+        if kind in ("MAX_REPEAT", "MIN_REPEAT"):
+            few, many, nodes = value
+            return [text * n for n in {few, min(many, few + 1)} for text in of(nodes)]
+        assert kind == "ASSERT_NOT"
+        return [""]
+
+    return sorted(set(of(re._parser.parse(pattern))))
+
+
+def test_license_matches_contain_cue_and_keyword():
+    for rule in licenses.rules():
+        for text in samples(rule["pattern"]):
+            assert re.search(rule["pattern"], text), text
+            assert rule["cue"] in text and rule["keyword"] in text, (rule["rule"], text)
+
+
+def test_license_gate_drops_no_detection(make, monkeypatch):
+    listed = licenses.rules()
+    # Every form of each name, tag and sentence, and one match of every rule.
+    texts = {t for rule in listed if rule["rule"].startswith(("tag", "text"))
+             for t in samples(rule["pattern"])}
+    texts |= {f"licensed under {t}" for label, _, name, _ in licenses._NAMES if name
+              for t in samples(name)}
+    texts |= {samples(rule["pattern"])[0] for rule in listed}
+    texts |= {"SPDX-License-Identifier: BSL-1.0", "SPDX-License-Identifier: PSF-2.0",
+              "licensed under Creative Commons Attribution 4.0"}
+    pairs = list(enumerate(sorted(texts)))
+    gated = {r.doc_id: (r.labels, r.score) for r in
+             licenses.report(licenses.scan(make(pairs))).collect()}
+    monkeypatch.setattr(licenses, "rules", lambda: [r | {"cue": "", "keyword": ""} for r in listed])
+    free = {r.doc_id: (r.labels, r.score) for r in
+            licenses.report(licenses.scan(make(pairs))).collect()}
+    assert gated == free
+    by_text = {text: gated[i] for i, text in pairs}
+    assert by_text["SPDX-License-Identifier: BSL-1.0"] == ("bsl-1", 1.0)
+    assert by_text["SPDX-License-Identifier: PSF-2.0"] == ("python-2", 1.0)
+    assert by_text["licensed under Creative Commons Attribution 4.0"] == ("cc-by", 0.95)
+
+
 # Secrets
 
 def test_entropy_equals_brute_force():
