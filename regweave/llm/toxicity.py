@@ -165,7 +165,8 @@ def fit(
     """A lexicon from labelled documents; ``use`` says which rows of ``labels`` may be used.
 
     Labels of several rows for one id count as toxic if any says so; NULL ids and labels are
-    left out. Without any usable label the start list and a default curve remain. A term
+    left out. Of rows that repeat an id the text that sorts first counts, once, so at most
+    ``max_rows`` texts are counted and collected. Without any usable label the start list and a default curve remain. A term
     needs ``min_documents`` toxic documents and clearly more than its share of them.
     """
     usable = labels if use is None else labels.where(use)
@@ -177,7 +178,8 @@ def fit(
     )
     texts = stored(
         docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
-        .join(F.broadcast(sample), "_id").select("_text", "_label"),
+        .join(F.broadcast(sample), "_id")
+        .groupBy("_id", "_label").agg(F.min("_text").alias("_text")).select("_text", "_label"),
         "labelled",
     )
     seen = {row["_label"]: row["count"] for row in texts.groupBy("_label").count().collect()}

@@ -241,6 +241,16 @@ def test_toxicity_without_labels_and_awkward_rows(spark, make, awkward):
     assert toxicity.score(make([]), lexicon).collect() == []
 
 
+def test_toxicity_counts_each_labelled_id_once(spark, make):
+    bad = [(i, f"you pathetic grobnik number {i}") for i in range(30)]
+    good = [(i, f"a calm remark about topic {i}") for i in range(30, 120)]
+    labels = spark.createDataFrame([(i, int(i < 30)) for i in range(120)], "doc_id long, toxic int")
+    once = toxicity.fit(make(bad + good), labels)
+    often = toxicity.fit(make(bad + good + good[:1] * 300 + [(31, None), (0, "zzz grobnik")]), labels)
+    assert "grobnik" in once.weights and often.weights == pytest.approx(once.weights)
+    assert often.curve == pytest.approx(once.curve)
+
+
 # Language
 
 def test_language_on_held_out_documents(spark):
