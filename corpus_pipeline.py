@@ -11,7 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regweave.llm import decontaminate, exact_dedup, jaccard, mixing, toxicity
-from regweave.llm.common import id_remainder, stored, table
+from regweave.llm.common import ascii_lower, id_remainder, stored, table
+
+#: Fewer words than these, in their order, stand in documents that know nothing of an item.
+LEAST_ITEM_WORDS = 5
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +43,14 @@ def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any ten-word window of a benchmark item."""
-    scanned = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"))
+    """Documents without any ten-word window of a benchmark item.
+
+    The one window of a shorter item is all of its words; items below ``LEAST_ITEM_WORDS``
+    are no sign of a leak and remove nothing.
+    """
+    benchmark = table(spark, sf_dir, "benchmark")
+    words = F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(_WORD), F.lit(0))
+    scanned = decontaminate.scan(docs, benchmark.where(F.size(words) >= LEAST_ITEM_WORDS))
     return decontaminate.remove_documents(scanned, docs.columns)
 
 

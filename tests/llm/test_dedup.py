@@ -363,6 +363,20 @@ def test_pipeline_equals_brute_force(spark):
     }
 
 
+def test_short_benchmark_items_remove_no_clean_documents(spark, make, tmp_path):
+    items = [(1, "the"), (2, "Is it so?"), (3, None), (4, "five Words of one item"),
+             (5, " ".join(f"w{i}" for i in range(12)))]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet")
+    docs = make([
+        (1, "the cat"), (2, "Is it so? It is."), (3, "say five words of one item aloud"),
+        (4, "five words of one"), (5, " ".join(f"w{i}" for i in range(1, 11))), (6, None),
+        (7, " ".join(f"w{i}" for i in range(9))),
+    ])
+    kept = corpus_pipeline.remove_leaks(spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 4, 6, 7]
+
+
 @pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
 def test_stages_take_awkward_rows(spark, make, awkward, name, stage):
     for pairs in (awkward, []):
