@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regweave.llm import (
-    decontaminate, exact_dedup, jaccard, language, licenses, mixing, secrets, suffix_dedup,
+    conversations, decontaminate, exact_dedup, jaccard, language, licenses, mixing, secrets, suffix_dedup,
     toxicity, warc,
 )
 from regweave.llm.common import id_remainder, table
@@ -152,6 +152,11 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversations.report(rows, conversations.repair(conversations.damage(rows)))
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op4_language": op4_language,
@@ -163,6 +168,7 @@ QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_mix": op8_mix,
+    "op13_conversations": op13_conversations,
 }
 ORACLES = {
     "op3_decontaminate": _OP3,

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import zlib
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -148,3 +149,81 @@ def mix(docs, weights=(3, 1, 2), share=1.5):
             upto += size
             taken[doc_id, name] = size * (whole + below)
     return taken, goal
+
+
+def damaged(rows):
+    """(conv_id, turn, role, text) rows with the planted faults of the conversation query."""
+    out = []
+    for conv, turn, role, text in rows:
+        key = ":".join(" " if v is None else str(v) for v in (conv, turn))
+        fate = zlib.crc32(key.encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = {1: "", 2: re.sub("[.!?]", "", text)}.get(fate, text)
+        role = "user" if fate == 4 else role
+        out += [(conv, turn, role, text)] * {0: 0, 3: 2}.get(fate, 1)
+    return out
+
+
+def repairs(rows, convs):
+    """{conv_id: (gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256)}."""
+    done = {}
+    for conv in convs:
+        own = sorted(
+            (r for r in rows if r[0] == conv),
+            key=lambda r: (
+                r[1] is not None, r[1] or 0, r[2].encode(), hashlib.sha256(r[3].encode()).hexdigest(),
+            ),
+        )
+        faults, seen = [], set()
+        for _, _, role, text in own:
+            visible = re.sub(r"[\x20\x09-\x0D]+$", "", text)
+            fault = (
+                "blank" if not visible else "duplicate" if (role, text) in seen
+                else "truncated" if visible[-1] not in ".!?" else None
+            )
+            faults.append(fault)
+            seen.add((role, text))
+        initials = [r[2][:1] for r in own]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+        due = {"": "u", "s": "u", "u": "a", "a": "u"}  # by the role before
+        best = {"": (0, ""), "a": (0, ""), "u": (3, "I"), "s": (6, "II")}
+        table = [best]
+        for i in reversed(range(len(own))):
+            direct = {}
+            for state in due:
+                options = [(4 + best[state][0], "D" + best[state][1])]
+                if faults[i] not in ("blank", "duplicate"):
+                    extra = 3 * (faults[i] == "truncated")
+                    if initials[i] == due[state] or (initials[i], state) == ("s", ""):
+                        cost, rest = best[initials[i]]
+                        options.append((extra + cost, "K" + rest))
+                    cost, rest = best[due[state]]
+                    options.append((3 + extra + cost, "R" + rest))
+                direct[state] = min(options)
+            for _ in range(3):
+                direct = {
+                    s: min(direct[s], (3 + direct[due[s]][0], "I" + direct[due[s]][1])) for s in due
+                }
+            best = direct
+            table.append(best)
+        cost, audit = best[""]
+        state, at, lines = "", 0, []
+        for letter in audit:
+            if letter == "I":
+                state = due[state]
+                lines.append({"u": "user:", "a": "assistant:"}[state])
+                continue
+            _, _, role, text = own[at]
+            at += 1
+            if letter == "K":
+                state = role[:1]
+                lines.append(f"{role}:{text}")
+            elif letter == "R":
+                state = due[state]
+                lines.append({"u": "user:", "a": "assistant:"}[state] + text)
+        turns = [r[1] for r in own if r[1] is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        counts = [faults.count(kind) for kind in ("blank", "duplicate", "truncated")]
+        digest = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+        done[conv] = (gaps, *counts, illegal, cost, audit, digest)
+    return done
