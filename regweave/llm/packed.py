@@ -39,7 +39,13 @@ def parts_for(keys: int, per_part: int = 1 << 20) -> int:
 
 def pack(batch: int, keys: np.ndarray, parts: int) -> pa.RecordBatch:
     """The rows of a batch's keys (uint64, with repeats)."""
-    distinct, counts = np.unique(keys, return_counts=True)
+    return pack_counted(batch, *np.unique(keys, return_counts=True), parts)
+
+
+def pack_counted(
+    batch: int, distinct: np.ndarray, counts: np.ndarray, parts: int
+) -> pa.RecordBatch:
+    """The rows of a batch's keys, in order, with their counts."""
     counts = np.minimum(counts, 0xFFFFFFFF).astype(np.uint32)
     bits = parts.bit_length() - 1
     bounds = np.arange(1, parts, dtype=np.uint64) << np.uint64(64 - bits)
@@ -56,7 +62,7 @@ def pack(batch: int, keys: np.ndarray, parts: int) -> pa.RecordBatch:
     )
 
 
-def _add_up(table: pa.Table) -> pa.Table:
+def _add_up(table: pa.Table, least: int) -> pa.Table:
     batches = table.column("batch").to_pylist()
     keys = [np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()]
     counts = [np.frombuffer(c, np.uint32) for c in table.column("counts").to_pylist()]
@@ -67,7 +73,7 @@ def _add_up(table: pa.Table) -> pa.Table:
     found = {"batch": [], "keys": [], "totals": []}
     for i, batch in enumerate(batches):
         own = totals[cuts[i] : cuts[i + 1]]
-        repeated = own > 1
+        repeated = own >= least
         if repeated.any():
             found["batch"].append(batch)
             found["keys"].append(keys[i][repeated].tobytes())
@@ -81,10 +87,10 @@ def _add_up(table: pa.Table) -> pa.Table:
     )
 
 
-def repeated(packed: DataFrame) -> DataFrame:
-    """Rows (batch, keys, totals) of the keys that occur at least twice over all batches."""
+def repeated(packed: DataFrame, least: int = 2) -> DataFrame:
+    """Rows (batch, keys, totals) of the keys that occur at least so often over all batches."""
     return packed.groupBy("part").applyInArrow(
-        _add_up, "batch long, keys binary, totals binary"
+        lambda table: _add_up(table, least), "batch long, keys binary, totals binary"
     )
 
 

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regweave.llm import (
-    conversations, decontaminate, exact_dedup, jaccard, language, licenses, mixing, secrets, suffix_dedup,
-    toxicity, warc,
+    collocations, conversations, decontaminate, exact_dedup, jaccard, language, licenses, mixing,
+    quality, secrets, suffix_dedup, toxicity, warc,
 )
-from regweave.llm.common import id_remainder, table
+from regweave.llm.common import id_remainder, stored, table
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), {az}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -152,6 +152,50 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("lang", "text")
+    found, words = collocations.phrases(docs)
+    return collocations.report(collocations.collocations(found), words)
+
+
+_OP11 = rf"""
+with pieces as (select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), {_AZ}), '[.,;:!?
+-
+]')) as piece from documents),
+w as (select lang, regexp_extract_all(piece, '[^ 	]+') as w from pieces),
+totals as (select lang, sum(len(w))::bigint as n from w group by 1),
+grams as (select lang, k, unnest([array_to_string(w[i : i + k - 1], ' ')
+    for i in range(1, greatest(1, len(w) - k + 2))]) as phrase
+  from w, (select unnest([1, 2, 3, 4]) as k)),
+f as (select lang, phrase, k, count(*) as f from grams group by all having count(*) >= 30),
+c as (select lang, phrase, k, f as a, string_split(phrase, ' ') as w from f where k > 1),
+cuts as (select c.*, unnest(range(1, k)) as cut from c),
+scored as (select cuts.lang, cuts.phrase, a, cut, l.f as l, r.f as r,
+    (2000000::hugeint * a) // (l.f + r.f) as score
+  from cuts join f l on l.lang = cuts.lang and l.phrase = array_to_string(w[1 : cut], ' ')
+  join f r on r.lang = cuts.lang and r.phrase = array_to_string(w[cut + 1 :], ' ')),
+best as (select * from scored qualify row_number() over
+  (partition by lang, phrase order by score, cut) = 1),
+parts as (select lang, a as f, k, w, unnest(range(1, k)) as i from c),
+inside as (select distinct c.lang, c.phrase from c
+  join (select lang, f, array_to_string(w[i : j], ' ') as phrase
+      from (select *, unnest(range(i + 1, k + 1)) as j from parts) where j - i + 1 < k)
+    as longer using (lang, phrase) where 100::hugeint * longer.f >= 80::hugeint * c.a),
+ranked as (select *, row_number() over
+    (partition by lang order by score desc, a desc, phrase) as rank
+  from best anti join inside using (lang, phrase))
+select lang, rank, phrase, a, l, r, n, score::bigint as score
+from ranked join totals using (lang) where rank <= 2000
+"""
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    measured = stored(quality.measure(docs), "quality-counts")
+    return quality.report(quality.judge(measured, quality.fit(measured)))
+
+
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return conversations.report(rows, conversations.repair(conversations.damage(rows)))
@@ -168,6 +212,8 @@ QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_mix": op8_mix,
+    "op11_collocations": op11_collocations,
+    "op12_quality": op12_quality,
     "op13_conversations": op13_conversations,
 }
 ORACLES = {
@@ -175,4 +221,5 @@ ORACLES = {
     "op5_exact_dedup": _OP5,
     "op6_warc": _OP6,
     "op8_mix": _OP8,
+    "op11_collocations": _OP11,
 }

@@ -227,3 +227,62 @@ def repairs(rows, convs):
         digest = hashlib.sha256("\n".join(lines).encode()).hexdigest()
         done[conv] = (gaps, *counts, illegal, cost, audit, digest)
     return done
+
+
+def phrase_counts(docs, longest=4):
+    """({(lang, phrase): count}, {lang: words}) of (lang, text) rows; phrases are tuples."""
+    counts, totals = {}, {}
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\\x0A-\\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] = totals.get(lang, 0) + len(words)
+            for width in range(1, longest + 1):
+                for i in range(len(words) - width + 1):
+                    key = lang, tuple(words[i : i + width])
+                    counts[key] = counts.get(key, 0) + 1
+    return counts, totals
+
+
+def collocations(docs, least=30, best=2000):
+    """Sorted (lang, rank, phrase, a, l, r, n, score) of (lang, text) rows."""
+    counts, totals = phrase_counts(docs)
+    candidates = {key: a for key, a in counts.items() if len(key[1]) > 1 and a >= least}
+    rows = []
+    for (lang, words), a in candidates.items():
+        inside = any(
+            other == lang and len(longer) > len(words) and 100 * f >= 80 * a
+            and any(longer[i : i + len(words)] == words for i in range(len(longer)))
+            for (other, longer), f in candidates.items()
+        )
+        if inside:
+            continue
+        cuts = [(counts[lang, words[:k]], counts[lang, words[k:]], k) for k in range(1, len(words))]
+        score, k, l, r = min((2000000 * a // (l + r), k, l, r) for l, r, k in cuts)
+        rows.append((lang, -score, -a, " ".join(words).encode(), l, r))
+    out, rank = [], {}
+    for lang, score, a, phrase, l, r in sorted(rows):
+        rank[lang] = rank.get(lang, 0) + 1
+        if rank[lang] <= best:
+            out.append((lang, rank[lang], phrase.decode(), -a, l, r, totals[lang], -score))
+    return out
+
+
+QUALITY_COUNTS = "n_words word_chars n_symbols n_dup_lines n_repeat_words".split()
+
+
+def quality_counts(text):
+    """The base counts of the quality rules."""
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    often = {w for w in windows if windows.count(w) > 1} if len(words) < 3000 else None
+    if often is None:
+        seen = {}
+        for w in windows:
+            seen[w] = seen.get(w, 0) + 1
+        often = {w for w, n in seen.items() if n > 1}
+    covered = {i + k for i, w in enumerate(windows) if w in often for k in range(5)}
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered)
