@@ -7,6 +7,10 @@ session names (see ``regweave.storage.scratch_directory``).
 from __future__ import annotations
 
 import zipfile
+from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
+
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -14,11 +18,14 @@ from pyspark.sql import functions as F
 
 from entry_queries.enriched import STATE, enriched_sql
 from entry_queries.tables import registry_ctes, registry_tables, table
-from regweave.plans.jobs import build, run_together, stage
+from regweave.plans.jobs import build, run_together, stage, stage_national
+from regweave.plans.summaries import merged_summary, stage_summaries
 from regweave.schemas import DATASETS, ENRICHED_SCHEMA, text_schema
 from regweave.sinks.tables import export_csv, export_single_csv, write_table, write_table_once
 from regweave.sources.archives import audit_archives, list_archives, read_zipped, storage_of
-from regweave.sources.datasets import RawRelease, StagedRelease, discover_release, read_dataset
+from regweave.sources.datasets import (
+    NationalRelease, RawRelease, StagedRelease, discover_release, read_dataset,
+)
 from regweave.sources.delimited import read_delimited, read_family, read_state_registry
 from regweave.storage import (
     directory_names,
@@ -117,10 +124,12 @@ def parquet_first_scan(spark, sf_dir):
     )
 
 
-def _stage(spark: SparkSession, sf_dir: str, purpose: str) -> tuple[StagedRelease, str]:
+def _stage(
+    spark: SparkSession, sf_dir: str, purpose: str, buckets: int = 0
+) -> tuple[StagedRelease, str]:
     root = scratch_directory(spark, purpose)
     raw = _write_raw_release(spark, sf_dir, f"{root}/raw")
-    staged = StagedRelease(f"{root}/staged", "2026-01", STATE)
+    staged = StagedRelease(f"{root}/staged", "2026-01", STATE, buckets=buckets)
     stage(spark, raw, staged)
     return staged, root
 
@@ -157,6 +166,63 @@ def restaged_slice(spark, sf_dir):
     return _count_tables(spark, staged)
 
 
+def replaced_release(spark, sf_dir):
+    """Files of one family replaced under the same release label: that family is staged again."""
+    root = scratch_directory(spark, "replace")
+    raw = _write_raw_release(spark, sf_dir, f"{root}/raw")
+    companies = registry_tables(spark, sf_dir)["empresas"].filter(F.xxhash64("cnpj_basico") < 0)
+    staged = StagedRelease(f"{root}/staged", "2026-01", STATE)
+
+    def publish(df: DataFrame) -> list[str]:
+        df.write.mode("overwrite").options(**_RAW_OPTIONS).csv(f"{root}/raw/Empresas0")
+        return stage(spark, raw, staged)
+
+    publish(companies.filter("cnpj_basico like '%7'"))
+    again = publish(companies)
+    if again != ["empresas"]:
+        raise RuntimeError(f"staged again: {again}")
+    return _count_tables(spark, staged)
+
+
+def colocated_enriched_base(spark, sf_dir):
+    """Staged in buckets by company, so that the joins by company move nothing."""
+    staged, root = _stage(spark, sf_dir, "colocated", buckets=8)
+    build(spark, staged, f"{root}/output")
+    return spark.read.schema(ENRICHED_SCHEMA).parquet(f"{root}/output/enriched")
+
+
+def national_slice(spark, sf_dir):
+    """One state after another, cut from whole tables in the order of the states."""
+    root = scratch_directory(spark, "national")
+    raw = _write_raw_release(spark, sf_dir, f"{root}/raw")
+    national = NationalRelease(f"{root}/national", "2026-01")
+    stage_national(spark, raw, national)
+    for state in ("SP", STATE):
+        staged = StagedRelease(f"{root}/staged", "2026-01", state)
+        stage(spark, national, staged)
+    return _count_tables(spark, staged)
+
+
+def summaries_by_file(spark, sf_dir):
+    """Partner summaries of raw files, one of which is replaced, merged."""
+    root = scratch_directory(spark, "summaries")
+    raw = RawRelease(f"{root}/raw", "")
+    partners = registry_tables(spark, sf_dir)["socios"]
+    lower = F.xxhash64("cpf_cnpj_socio") < 0
+
+    def publish(number: int, df: DataFrame) -> None:
+        df.write.mode("overwrite").options(**_RAW_OPTIONS).csv(f"{root}/raw/Socios{number}")
+
+    publish(0, partners.filter(lower))
+    publish(1, partners.filter(~lower).filter("faixa_etaria = '1'"))
+    stage_summaries(spark, raw, f"{root}/summaries")
+    publish(1, partners.filter(~lower))
+    again = stage_summaries(spark, raw, f"{root}/summaries")
+    if again != ["Socios1"]:
+        raise RuntimeError(f"summarised again: {again}")
+    return merged_summary(spark, f"{root}/summaries")
+
+
 def staged_enriched_base(spark, sf_dir):
     staged, root = _stage(spark, sf_dir, "build")
     build(spark, staged, f"{root}/output")
@@ -186,40 +252,50 @@ def latest_folder(spark, sf_dir):
 
 
 def _zip_writer(directory: str):
-    """Writes the archive of one group of lines, an entry for each part of it."""
-
-    def write(lines: pa.Table) -> pa.Table:
-        name = f"Pedidos{lines.column('archive')[0].as_py()}"
-        system, target = storage_of(f"{directory}/{name}.zip")
-        system.create_dir(target.rsplit("/", 1)[0], recursive=True)
-        attempt = f"{target}.{TaskContext.get().taskAttemptId()}"
-        entries: dict[int, list[str]] = {}
-        for entry, line in zip(lines.column("entry").to_pylist(), lines.column("line").to_pylist()):
-            entries.setdefault(entry, []).append(line)
-        with system.open_output_stream(attempt) as sink:
-            with zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as archive:
-                for entry, own in sorted(entries.items()):
+    """Writes archives from lines sorted by archive and entry, each line as it comes."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        attempt = TaskContext.get().taskAttemptId()
+        for number, lines in groupby(_rows(batches), key=itemgetter(0)):
+            name, written = f"Pedidos{number}", 0
+            system, target = storage_of(f"{directory}/{name}.zip")
+            system.create_dir(target.rsplit("/", 1)[0], recursive=True)
+            with (
+                system.open_output_stream(f"{target}.{attempt}") as sink,
+                zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as archive,
+            ):
+                for entry, own in groupby(lines, key=itemgetter(1)):
                     with archive.open(f"{name}-{entry}.csv", "w", force_zip64=True) as out:
-                        out.write("".join(line + "\n" for line in own).encode("ISO-8859-1"))
-        # A task that runs twice replaces its archive with the same content.
-        system.move(attempt, target)
-        return pa.table({"archive": [f"{name}.zip"], "n_rows": [lines.num_rows]})
+                        for _, _, line in own:
+                            out.write(f"{line}\n".encode("ISO-8859-1"))
+                            written += 1
+            # A task that runs twice replaces its archive with the same content.
+            system.move(f"{target}.{attempt}", target)
+            yield pa.RecordBatch.from_pydict({"archive": [f"{name}.zip"], "n_rows": [written]})
 
     return write
 
 
-_ARCHIVES, _ENTRIES = 16, 4
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*[batch.column(name).to_pylist() for name in ("archive", "entry", "line")])
+
+
+_LEAST_ARCHIVES, _ARCHIVE_ROWS, _ENTRIES = 16, 20_000, 4
 _ORDER_LINE = "concat(o_orderkey, ';', o_custkey, ';', o_orderstatus, ';\"', o_orderpriority, ' \"\"é\"\"; ã\"')"
 
 
 def _write_archives(spark: SparkSession, sf_dir: str) -> str:
-    """The orders as zipped text: by order number in archives, by customer in entries."""
+    """The orders as zipped text: by order number in archives of about ``_ARCHIVE_ROWS`` rows,
+    by customer in entries."""
     root = scratch_directory(spark, "archives")
-    lines = table(spark, sf_dir, "orders").selectExpr(
-        f"o_orderkey % {_ARCHIVES} as archive", f"o_custkey % {_ENTRIES} as entry",
+    orders = table(spark, sf_dir, "orders")
+    archives = max(_LEAST_ARCHIVES, -(-orders.count() // _ARCHIVE_ROWS))
+    lines = orders.selectExpr(
+        f"o_orderkey % {archives} as archive", f"o_custkey % {_ENTRIES} as entry",
         f"{_ORDER_LINE} as line",
     )
-    written = lines.groupBy("archive").applyInArrow(
+    written = lines.repartition("archive").sortWithinPartitions("archive", "entry").mapInArrow(
         _zip_writer(root), "archive string, n_rows long"
     )
     written.write.format("noop").mode("overwrite").save()
@@ -253,6 +329,10 @@ QUERIES = {
     "zip_audit": zip_audit,
     "staged_slice": staged_slice,
     "restaged_slice": restaged_slice,
+    "replaced_release": replaced_release,
+    "colocated_enriched_base": colocated_enriched_base,
+    "national_slice": national_slice,
+    "summaries_by_file": summaries_by_file,
     "staged_enriched_base": staged_enriched_base,
     "enriched_csv_of_build": enriched_csv_of_build,
     "latest_folder": latest_folder,
@@ -286,22 +366,34 @@ ORACLES = {
         select cast(o_orderkey as varchar) as o_orderkey, cast(o_custkey as varchar) as o_custkey,
                o_orderstatus, o_orderpriority || ' "é"; ã' as note from orders""",
     "zip_audit": f"""
-        select 'Pedidos' || cast(o_orderkey % {_ARCHIVES} as varchar) || '.zip' as name,
-               case when o_orderkey % {_ARCHIVES} > 1
-                 then count(distinct o_custkey % {_ENTRIES}) end as n_entries,
-               case when o_orderkey % {_ARCHIVES} > 1
+        select 'Pedidos' || cast(number as varchar) || '.zip' as name,
+               case when number > 1 then count(distinct o_custkey % {_ENTRIES}) end as n_entries,
+               case when number > 1
                  then cast(sum(length(cast(o_orderkey as varchar)) + length(cast(o_custkey as varchar))
                    + length(o_orderstatus) + length(o_orderpriority) + 15) as bigint) end as n_bytes,
-               cast(null as varchar) as bad_entry, o_orderkey % {_ARCHIVES} > 1 as ok
-        from orders group by o_orderkey % {_ARCHIVES}""",
+               cast(null as varchar) as bad_entry, number > 1 as ok
+        from (select *, o_orderkey % (select greatest({_LEAST_ARCHIVES},
+            (count(*) + {_ARCHIVE_ROWS - 1}) // {_ARCHIVE_ROWS}) from orders) as number from orders)
+        group by number""",
     "staged_slice": f"with {registry_ctes()}\n" + "\nunion all\n".join(
         f"select '{name}' as dataset, count(*) as n_rows from {name} {condition}"
         for name, condition in _STAGED.items()
     ),
+    "summaries_by_file": f"""
+        with {registry_ctes()}
+        select cnpj_basico, count(*) as qtd_socios,
+            count(*) filter (where identificador_socio = '1') as qtd_socios_pessoa_juridica,
+            count(*) filter (where identificador_socio = '2') as qtd_socios_pessoa_fisica,
+            count(*) filter (where identificador_socio = '3') as qtd_socios_estrangeiro,
+            min(data_entrada_sociedade) as primeira_data_entrada_sociedade,
+            max(data_entrada_sociedade) as ultima_data_entrada_sociedade
+        from socios group by cnpj_basico""",
     "staged_enriched_base": enriched_sql(),
+    "colocated_enriched_base": enriched_sql(),
     # An empty text comes back from a CSV file as NULL; the tables hold none.
     "enriched_csv_of_build": enriched_sql(),
     "latest_folder": """
         select max(strftime(o_orderdate, '%Y-%m')) as label from orders where o_orderstatus <> 'P'""",
 }
-ORACLES["restaged_slice"] = ORACLES["staged_slice"]
+for _name in ("restaged_slice", "replaced_release", "national_slice"):
+    ORACLES[_name] = ORACLES["staged_slice"]

@@ -13,6 +13,9 @@ Each join picks one of two ways:
   than partitions, whatever the data size. A row of such a key goes to one of several buckets, and the rows it has to meet
   are repeated in each of them. All other keys keep a single bucket. No row is dropped,
   and without such keys the plan is Spark's plain join.
+
+Neither takes a job where the tables come with profiles, taken when they were written
+(``regweave.operators.profiles``).
 """
 
 from __future__ import annotations
@@ -29,11 +32,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from regweave.operators.profiles import Frequent
+
 # A key is spread when it holds more rows than this many average shuffle partitions.
 HOT_PARTITIONS = 4
-# Below this estimate of a table's size its keys are not counted: even if one key held all
-# of it, one task would manage. This changes the plan only, never the rows.
+# Below this estimate of a table's size and so many rows its keys are not counted: even if
+# one key held all of it, one task would manage. A small file can hold any number of rows, so
+# its rows are counted. This changes the plan only, never the rows.
 SPREAD_BYTES = 256 << 20
+SPREAD_ROWS = 4 << 20
 # Rows in memory may take this many times the broadcast threshold, which is meant for
 # compressed files.
 BROADCAST_EXPANSION = 8
@@ -46,7 +53,8 @@ class Right:
     ``unique`` says the key is unique by construction. ``bound`` is a table that cannot
     be smaller than ``df`` and is cheaper to measure, such as the input of an aggregate.
     ``small`` says that ``df`` can be broadcast (None = not measured yet), ``misjudged``
-    that Spark would broadcast it though it is too large.
+    that Spark would broadcast it though it is too large. ``size`` (a bound of its bytes)
+    and ``frequent`` (its most frequent keys) come from a profile, if there is one.
     """
 
     df: DataFrame
@@ -54,6 +62,8 @@ class Right:
     bound: DataFrame | None = None
     small: bool | None = None
     misjudged: bool = False
+    size: int | None = None
+    frequent: Frequent | None = None
 
     def shuffled(self, df: DataFrame) -> DataFrame:
         """``df``, derived from this side, kept from a broadcast by estimate alone."""
@@ -90,12 +100,17 @@ def _estimate(df: DataFrame) -> int:
 
 
 def measure(rights: Sequence[Right]) -> None:
-    """Decide for all ``rights`` whether they can be broadcast, in one Spark job."""
+    """Decide for all ``rights`` whether they can be broadcast, in one Spark job for those
+    that have no profile."""
     candidates = []
     for right in rights:
         if right.small is None:
-            right.small = _estimate(right.df) <= _broadcast_limit(right.df.sparkSession)
-            if right.small:
+            limit = _broadcast_limit(right.df.sparkSession)
+            right.small = _estimate(right.df) <= limit
+            if right.small and right.size is not None:
+                right.small = right.size <= BROADCAST_EXPANSION * limit
+                right.misjudged = not right.small
+            elif right.small:
                 candidates.append(right)
     if not candidates:
         return
@@ -209,13 +224,15 @@ class Join:
     """A left join with every table of ``rights`` on the same-named ``key``.
 
     ``sketch`` is a table with the left side's keys, cheaper to count than the left side
-    if that is itself the result of joins. ``hot`` holds the hot keys of the left side and
-    of each right side that has to be shuffled (None = not counted yet).
+    if that is itself the result of joins; ``frequent`` are its most frequent ones, if there
+    is a profile. ``hot`` holds the hot keys of the left side and of each right side that has
+    to be shuffled (None = not counted yet).
     """
 
     key: str
     rights: list[Right]
     sketch: DataFrame
+    frequent: Frequent | None = None
     hot: list[dict[object, int]] | None = None
 
     @property
@@ -223,23 +240,51 @@ class Join:
         return [right for right in self.rights if not right.small]
 
 
+def worth_counting(sides: Sequence[DataFrame]) -> list[bool]:
+    """Whether tables are so large that a hot key matters: by Spark's estimate, else by their
+    rows, counted for all of them in one job."""
+    large = [_estimate(df) >= SPREAD_BYTES for df in sides]
+    counts = [
+        df.agg(F.lit(i).alias("i"), F.count(F.lit(1)).alias("n"))
+        for i, df in enumerate(sides) if not large[i]
+    ]
+    if counts:
+        for i, n in reduce(DataFrame.unionAll, counts).collect():
+            large[i] = n >= SPREAD_ROWS
+    return large
+
+
 def prepare(joins: Sequence[Join], also: Sequence[Right] = ()) -> None:
     """Measure the right sides of all ``joins`` (and of ``also``) in one job, and count the
-    hot keys of what has to be shuffled in one more, or two if there are any."""
+    rows and, of large tables, the hot keys of what has to be shuffled in one more each, or
+    in three if there are hot keys. Tables with a profile take part in none of them."""
     measure([right for join in joins for right in join.rights] + list(also))
     sides, owners = [], []
     for join in joins:
-        if join.hot is None:
-            join.hot = [{} for _ in range(len(join.shuffled) + 1)]
-            if join.shuffled and _estimate(join.sketch) >= SPREAD_BYTES:
-                sides.append((join.sketch, join.key))
-                owners.append((join, 0))
-            for i, right in enumerate(join.shuffled, start=1):
-                # A NULL on the right matches nothing, and Spark filters it out before
-                # the shuffle.
-                if not right.unique and _estimate(right.df) >= SPREAD_BYTES:
-                    sides.append((right.df.filter(F.col(join.key).isNotNull()), join.key))
-                    owners.append((join, i))
+        if join.hot is not None:
+            continue
+        join.hot = [{} for _ in range(len(join.shuffled) + 1)]
+        if not join.shuffled:
+            continue
+        partitions = _shuffle_partitions(join.sketch.sparkSession)
+        # A NULL on the right matches nothing, and Spark filters it out before the shuffle.
+        asked = [(join.sketch, join.frequent, True)]
+        asked += [(r.df, None if r.unique else r.frequent, False) for r in join.shuffled]
+        for i, (df, frequent, nulls) in enumerate(asked):
+            if i and join.shuffled[i - 1].unique:
+                continue
+            if frequent is not None:
+                known = frequent.above(partitions, HOT_PARTITIONS, nulls)
+                if frequent.rows < SPREAD_ROWS and _estimate(df) < SPREAD_BYTES:
+                    known = {}
+                if known is not None:
+                    join.hot[i] = known
+                    continue
+            sides.append((df if nulls else df.filter(F.col(join.key).isNotNull()), join.key))
+            owners.append((join, i))
+    large = worth_counting([df for df, _ in sides])
+    sides = [side for side, counted in zip(sides, large) if counted]
+    owners = [owner for owner, counted in zip(owners, large) if counted]
     for (join, i), found in zip(owners, hot_keys(sides)):
         join.hot[i] = found
 
@@ -331,19 +376,62 @@ def normalised_key_join(
     return left_join(left, key, [Right(right.withColumn(key, right_key))])
 
 
+def _mask(key: Column) -> Column:
+    """Four of 64 bits, by a hash that is independent of the one that picks the word."""
+    places = F.xxhash64(key, F.lit(1))
+    bits = []
+    for i in range(4):
+        place = F.shiftrightunsigned(places, 6 * i).bitwiseAND(F.lit(63)).cast("int")
+        bits.append(F.call_function("shiftleft", F.lit(1).cast("bigint"), place))
+    return reduce(Column.bitwiseOR, bits)
+
+
+def key_filter(keys: DataFrame, key: str, rows: int) -> tuple[DataFrame, int]:
+    """A Bloom filter of about ``rows`` keys as a table (word, bits), and its number of words.
+
+    A key sets four bits of one word of 64, and a word serves six keys, so about one in
+    twenty-five other keys passes. The table is a few bytes for each key, however long the
+    keys are.
+    """
+    words = max(1, -(-rows // 6))
+    word = F.pmod(F.xxhash64(F.col(key)), F.lit(words))
+    made = keys.filter(F.col(key).isNotNull()).groupBy(word.alias("_word"))
+    return made.agg(F.bit_or(_mask(F.col(key))).alias("_bits")), words
+
+
+def may_match(df: DataFrame, column: str, bloom: DataFrame, words: int) -> DataFrame:
+    """Rows of ``df`` whose ``column`` passes the filter: all that match, and a few others."""
+    word = F.pmod(F.xxhash64(F.col(column)), F.lit(words))
+    mask = _mask(F.col(column))
+    hit = (F.col("_word") == word) & (F.col("_bits").bitwiseAND(mask) == mask)
+    return df.join(F.broadcast(bloom), hit, "left_semi")
+
+
+def _prefiltered(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """``df`` without most rows that match no key, where a filter of the keys can be broadcast."""
+    rows = keys.count()
+    limit = BROADCAST_EXPANSION * _broadcast_limit(df.sparkSession)
+    if not 0 < 16 * -(-rows // 6) <= limit:
+        return df
+    return may_match(df, column, *key_filter(keys, column, rows))
+
+
 def semi_join(
     df: DataFrame,
     column: str,
     keys: DataFrame | Right,
     key: str | None = None,
     spread: bool = True,
+    prefilter: bool = False,
 ) -> DataFrame:
     """Rows of ``df`` whose ``column`` occurs among ``keys``; columns of ``df`` only.
 
     This is also the inner join with distinct keys. NULL matches nothing. ``key`` names
     the key column if it is not ``column``. Without ``spread``, hot keys are left to the
     adaptive skew join, which saves reading ``df`` once more to find them; it needs keys
-    that are a plain table of unique values.
+    that are a plain table of unique values. With ``prefilter``, rows that match no key are
+    dropped where ``df`` is read, by a Bloom filter of keys that are too many to broadcast
+    but have a filter that is not; this pays where few of the rows match.
     """
     wanted = keys if isinstance(keys, Right) else Right(keys)
     wanted_keys = wanted.df.select(F.col(key or column).alias(column))
@@ -357,13 +445,18 @@ def semi_join(
     # shuffle, and before a hot key is repeated in its buckets.
     if not wanted.unique:
         wanted_keys = wanted_keys.distinct()
+    names = df.columns
+    if prefilter:
+        df = _prefiltered(df, column, wanted_keys)
     hot = {}
-    if spread and _estimate(df) >= SPREAD_BYTES:
-        (hot,) = hot_keys([(df.filter(F.col(column).isNotNull()), column)])
+    if spread:
+        present = df.filter(F.col(column).isNotNull())
+        if worth_counting([present])[0]:
+            (hot,) = hot_keys([(present, column)])
     if not hot:
-        return df.join(wanted.shuffled(wanted_keys), column, "left_semi").select(*df.columns)
+        return df.join(wanted.shuffled(wanted_keys), column, "left_semi").select(*names)
     table = _bucket_table(df, column, [hot])
     on = [column, "_b0"]
     left = _bucketed(df, column, table, 0, [0])
     right = _bucketed(wanted_keys, column, table, 1, [0])
-    return left.join(wanted.shuffled(right), on, "left_semi").select(*df.columns)
+    return left.join(wanted.shuffled(right), on, "left_semi").select(*names)

@@ -51,6 +51,15 @@ def summarise_many(
     return df.groupBy(key).agg(*measures)
 
 
+def merge_summaries(
+    partial: DataFrame, key: str, counts: list[str], first: str, last: str
+) -> DataFrame:
+    """One row per ``key`` from summaries of parts of its rows: counts add up, of the dates
+    the first and the last stay."""
+    sums = [F.sum(name).alias(name) for name in counts]
+    return partial.groupBy(key).agg(*sums, F.min(first).alias(first), F.max(last).alias(last))
+
+
 def bounded_count(df: DataFrame, bound: int, name: str) -> DataFrame:
     """One row: the number of rows, counted up to ``bound`` ("is there data?")."""
     return df.select(F.lit(1).alias("one")).limit(bound).agg(F.count("one").alias(name))

@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regweave.functions import blank_to_null, composite_key, digits_only, phone_number
 from regweave.operators.joins import Join, Right, apply, code_list, prepare, semi_join
+from regweave.operators.profiles import Profile
 from regweave.operators.relational import distinct_keys, prefixed, slice_equal, summarise_many
-from regweave.schemas import DATASETS, DEFAULT_STATE, ENRICHED, PARTNER_SUMMARY
-
-COMPANY = "cnpj_basico"
+from regweave.schemas import COMPANY, DATASETS, DEFAULT_STATE, ENRICHED, PARTNER_SUMMARY
 
 # Partner type codes and the summary columns that count them.
 PARTNER_KINDS = {
@@ -37,6 +36,30 @@ def required_datasets(partners: bool) -> list[str]:
     return [name for name in DATASETS if partners or name != "socios"]
 
 
+def _establishment() -> Column:
+    return composite_key(*DATASETS["estabelecimentos"].key)
+
+
+def _registry_digits() -> Column:
+    # Rows without a digit in their number match nothing.
+    return F.nullif(digits_only("cnpj"), F.lit(""))
+
+
+def join_keys(name: str) -> dict[str, Column]:
+    """The keys by which the table ``name`` takes part in the joins here."""
+    keys = {
+        column: F.col(column) for column in (COMPANY, *CODE_LISTS) if column in DATASETS[name].columns
+    }
+    if name == "estabelecimentos":
+        keys["cnpj"] = _establishment()
+    elif name == "jucees":
+        # The registry's other columns of these names are no keys.
+        keys = {"cnpj": _registry_digits()}
+    elif name in {table for table, _ in CODE_LISTS.values()}:
+        keys = {"codigo": F.col("codigo")}
+    return keys
+
+
 def partner_summary(partners: DataFrame) -> DataFrame:
     """Six measures of the partners of each company."""
     return summarise_many(
@@ -56,6 +79,8 @@ def build_enriched(
     state: str = DEFAULT_STATE,
     partners: bool = True,
     reduced: bool = False,
+    profiles: Mapping[str, Profile] | None = None,
+    colocated: bool = False,
 ) -> DataFrame:
     """The state's establishments with everything known about them, 63 columns.
 
@@ -70,21 +95,41 @@ def build_enriched(
     are small and normally broadcast, come last, as do the columns computed from the row
     itself. Legal forms are looked up on the companies, which are fewer and narrower. The
     sizes and hot keys of all tables are found by one job each, before the plan is made.
+
+    ``profiles`` of the tables, as staging takes them (``join_keys``), replace those jobs; the
+    table of establishments must then hold this state only. ``colocated`` says that the tables
+    by company lie in equal buckets by it: their joins come first then, where they need no
+    shuffle, and the legal forms after them.
     """
-    key = composite_key(*DATASETS["estabelecimentos"].key)
-    sliced = slice_equal(tables["estabelecimentos"], "uf", state.upper()).withColumn("cnpj", key)
+    known = profiles or {}
+
+    def frequent(table: str, name: str):
+        return known[table].keys.get(name) if table in known else None
+
+    def size(table: str, columns: list[str], fixed: int = 0) -> int | None:
+        return known[table].size(columns, fixed) if table in known else None
+
+    sliced = slice_equal(tables["estabelecimentos"], "uf", state.upper())
+    sliced = sliced.withColumn("cnpj", _establishment())
 
     published = [
         name.removeprefix(_REGISTRY_PREFIX) for name in ENRICHED if name.startswith(_REGISTRY_PREFIX)
     ]
-    # Rows without a digit in their number match nothing; left out here, the digits are
-    # computed once.
+    # Left out here, rows without a number have no digits computed.
     numbered = tables["jucees"].filter(F.col("cnpj").isNotNull())
     numbered = prefixed(numbered, _REGISTRY_PREFIX, published, keep=["cnpj"])
-    digits = F.nullif(digits_only("cnpj"), F.lit(""))
-    registry = Join("cnpj", [Right(numbered.withColumn("cnpj", digits), bound=numbered)], sliced)
-    firms = Right(tables["empresas"])
-    companies = Join(COMPANY, [firms, Right(tables["simples"])], sliced)
+    listed = Right(
+        numbered.withColumn("cnpj", _registry_digits()), bound=numbered,
+        size=size("jucees", ["cnpj", *published]), frequent=frequent("jucees", "cnpj"),
+    )
+    registry = Join("cnpj", [listed], sliced, frequent("estabelecimentos", "cnpj"))
+    firms, regimes = (
+        Right(
+            tables[name], size=size(name, DATASETS[name].columns), frequent=frequent(name, COMPANY)
+        )
+        for name in ("empresas", "simples")
+    )
+    companies = Join(COMPANY, [firms, regimes], sliced, frequent("estabelecimentos", COMPANY))
     wanted = []
     if partners:
         if not reduced:
@@ -97,24 +142,31 @@ def build_enriched(
             for field in PARTNER_SUMMARY
         }
         bound = tables["socios"].select(COMPANY, *[c.alias(name) for name, c in widest.items()])
-        summary = Right(partner_summary(tables["socios"]), unique=True, bound=bound)
-        companies.rights.append(summary)
-    codes = {
-        column: Join(
-            column,
-            [code_list(column, tables[table], "codigo", "descricao", output)],
-            sliced if column in sliced.columns else tables["empresas"],
+        dates = ["data_entrada_sociedade"] * 2
+        summary = Right(
+            partner_summary(tables["socios"]), unique=True, bound=bound,
+            size=size("socios", [COMPANY, *dates], len(PARTNER_SUMMARY) - len(dates)),
         )
-        for column, (table, output) in CODE_LISTS.items()
-    }
+        companies.rights.append(summary)
+    codes = {}
+    for column, (table, output) in CODE_LISTS.items():
+        codes[column] = code_list(column, tables[table], "codigo", "descricao", output)
+        codes[column].size = size(table, ["codigo", "descricao"])
+        codes[column].frequent = frequent(table, "codigo")
+        owner = "estabelecimentos" if column in sliced.columns else "empresas"
+        coded = sliced if column in sliced.columns else tables["empresas"]
+        codes[column] = Join(column, [codes[column]], coded, frequent(owner, column))
     prepare([registry, companies, *codes.values()], wanted)
     if wanted and wanted[0].small:
         # A broadcast of the slice's companies keeps all other partners out of the
         # aggregation. Without one, the partial aggregation is the cheaper reduction.
         summary.df = partner_summary(semi_join(tables["socios"], COMPANY, wanted[0]))
-    firms.df = apply(tables["empresas"], codes.pop("natureza_juridica"))
+    if not colocated:
+        firms.df = apply(tables["empresas"], codes.pop("natureza_juridica"))
 
-    result = apply(apply(sliced, registry), companies)
+    result = sliced
+    for join in (companies, registry) if colocated else (registry, companies):
+        result = apply(result, join)
     for code in codes.values():
         result = apply(result, code)
 

@@ -17,19 +17,26 @@ from pyspark.sql import functions as F
 
 from regweave.functions import digits_only
 from regweave.operators.joins import Right, measure, semi_join
+from regweave.operators.profiles import Observed, Profile
 from regweave.operators.quality import PROBE_ROWS, EmptySliceError, duplicate_keys
 from regweave.operators.relational import distinct_keys, probe_count, slice_equal
-from regweave.plans.enrich import COMPANY, build_enriched, build_partners, required_datasets
-from regweave.schemas import DATASETS, DEFAULT_STATE
-from regweave.sinks.tables import export_single_csv, write_table, write_table_once
+from regweave.plans.enrich import (
+    build_enriched, build_partners, join_keys, required_datasets,
+)
+from regweave.schemas import COMPANY, DATASETS, DEFAULT_STATE
+from regweave.sinks.tables import (
+    export_single_csv, write_bucketed, write_ordered, write_table,
+)
 from regweave.sources.archives import audit_archives
+from regweave.sources.manifests import Manifest, RawFiles
 from regweave.sources.datasets import (
+    NationalRelease,
     RawRelease,
     StagedRelease,
     discover_release,
     read_dataset,
 )
-from regweave.storage import is_complete, remove
+from regweave.storage import is_complete
 
 #: Tables that hold only what belongs to the staged establishments.
 SLICED = ("keys_cnpj_basico", "keys_municipio", "empresas", "simples", "socios", "municipios")
@@ -57,9 +64,17 @@ def run_together(spark: SparkSession, job: Callable[[str], None], names: list[st
 
 
 def stage(
-    spark: SparkSession, raw: RawRelease, staged: StagedRelease, partners: bool = True
+    spark: SparkSession,
+    raw: RawRelease | NationalRelease,
+    staged: StagedRelease,
+    partners: bool = True,
 ) -> list[str]:
-    """Write the missing staged tables and return their names.
+    """Write the staged tables that are missing or out of date, and return their names.
+
+    A table is up to date if its manifest names the raw files that are there now. Raw files
+    that were replaced under the same label are staged again, those that are gone are not
+    missed. The manifest is committed after the table and holds the profile that later joins
+    are planned with (``regweave.operators.profiles``).
 
     Establishments are cut to the state and written first, then the two key tables that
     reduce the other datasets. Those are read from finished parquet tables, so a lost
@@ -70,21 +85,73 @@ def stage(
     complete that does not belong to the complete slice beside it.
     """
     staged.require_profile_of(raw)
-    if not staged.has(spark, "estabelecimentos"):
-        for name in SLICED:
-            remove(spark, staged.path(name))
-    missing = staged.missing(spark, required_datasets(partners))
+    inputs = raw.inputs(spark)
+    if not staged.current(spark, "estabelecimentos", inputs["estabelecimentos"]):
+        for name in ("estabelecimentos", *SLICED):
+            staged.remove(spark, name)
+    missing = [
+        name for name in required_datasets(partners)
+        if not staged.current(spark, name, inputs[name])
+    ]
+    for name in missing:
+        staged.remove(spark, name)
     if "estabelecimentos" in missing:
         cut = slice_equal(raw.read(spark, "estabelecimentos"), "uf", staged.state)
-        write_table(cut, staged.path("estabelecimentos"), rebalance=True)
+        _write_staged(spark, cut, staged, "estabelecimentos", inputs["estabelecimentos"])
     others = [name for name in missing if name != "estabelecimentos"]
     if others:
-        _stage_reduced(spark, raw, staged, others)
+        _stage_reduced(spark, raw, staged, others, inputs)
+    return missing
+
+
+def stage_national(
+    spark: SparkSession, raw: RawRelease, national: NationalRelease, partners: bool = True
+) -> list[str]:
+    """Write the whole tables of a release that are missing or out of date, and return their
+    names. States are then staged from ``national`` in place of the raw release, each by a
+    scan of its own row groups instead of all raw text."""
+    national.require_profile_of(raw)
+    inputs = raw.inputs(spark)
+    missing = [
+        name for name in required_datasets(partners)
+        if not national.current(spark, name, inputs[name])
+    ]
+
+    def write(name: str) -> None:
+        national.remove(spark, name)
+        columns = DATASETS[name].columns
+        order = [column for column in ("uf", COMPANY, "cnpj_ordem") if column in columns]
+        path, keys = national.path(name), [COMPANY] if COMPANY in columns else []
+        if order:
+            write_ordered(raw.read(spark, name), path, order, keys)
+        else:
+            write_table(raw.read(spark, name), path)
+        manifest = Manifest(inputs[name], tuple(columns), 0, Profile(0))
+        manifest.commit(spark, national.manifest_path(name))
+
+    if missing:
+        run_together(spark, write, missing)
     return missing
 
 
+def _write_staged(
+    spark: SparkSession, df: DataFrame, staged: StagedRelease, name: str, files: RawFiles
+) -> None:
+    """The table, profiled as it is written, and then its manifest."""
+    path, buckets = staged.path(name), staged.buckets_of(name)
+    even = df.repartition(buckets, COMPANY) if buckets else df.hint("rebalance")
+    observed = Observed(even, join_keys(name))
+    if buckets:
+        write_bucketed(observed.df, path, COMPANY, buckets, staged.table_name(name))
+    else:
+        write_table(observed.df, path)
+    manifest = Manifest(files, tuple(DATASETS[name].columns), buckets, observed.profile())
+    manifest.commit(spark, staged.manifest_path(name))
+
+
 def _stage_reduced(
-    spark: SparkSession, raw: RawRelease, staged: StagedRelease, names: list[str]
+    spark: SparkSession, raw: RawRelease, staged: StagedRelease, names: list[str],
+    inputs: dict[str, RawFiles],
 ) -> None:
     sliced = spark.read.parquet(staged.path("estabelecimentos"))
 
@@ -101,13 +168,13 @@ def _stage_reduced(
         # Finding hot keys first would parse the raw text once more. A lone join between
         # two plain scans is one that adaptive execution splits by itself.
         if COMPANY in table.columns:
-            return semi_join(table, COMPANY, companies, spread=False)
+            return semi_join(table, COMPANY, companies, spread=False, prefilter=True)
         if name == "municipios":
             return semi_join(table, "codigo", towns, "municipio", spread=False)
         return table
 
     def write(name: str) -> None:
-        write_table_once(spark, lambda: reduced(name), staged.path(name), rebalance=True)
+        _write_staged(spark, reduced(name), staged, name, inputs[name])
 
     with cached(companies.df, towns.df):
         measure([companies, towns])
@@ -124,6 +191,14 @@ def tables(
     return {name: read_dataset(spark, name, staged, raw) for name in required_datasets(partners)}
 
 
+def profiles(
+    spark: SparkSession, staged: StagedRelease, partners: bool = True
+) -> dict[str, Profile]:
+    """The profiles of the staged tables that have a manifest."""
+    found = {name: staged.manifest(spark, name) for name in required_datasets(partners)}
+    return {name: manifest.profile for name, manifest in found.items() if manifest is not None}
+
+
 def build(
     spark: SparkSession,
     staged: StagedRelease,
@@ -141,7 +216,11 @@ def build(
         stage(spark, raw, staged, partners)
     inputs = tables(spark, staged, partners=partners)
     # Staged partners are already those of the slice.
-    results = {"enriched": build_enriched(inputs, staged.state, partners, reduced=True)}
+    enriched = build_enriched(
+        inputs, staged.state, partners, reduced=True, profiles=profiles(spark, staged, partners),
+        colocated=staged.buckets > 0,
+    )
+    results = {"enriched": enriched}
     if partners:
         results["partners"] = build_partners(inputs, staged.state, reduced=True)
 

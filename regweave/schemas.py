@@ -15,6 +15,9 @@ def text_schema(names: list[str]) -> T.StructType:
 # Fixed value: the state a run is for unless it says otherwise.
 DEFAULT_STATE = "ES"
 
+#: The key that all tables about companies share.
+COMPANY = "cnpj_basico"
+
 # Column names and their order in the published registry files.
 EMPRESAS = [
     "cnpj_basico", "razao_social", "natureza_juridica", "qualificacao_responsavel",

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regweave.storage import file_system, is_complete
+from regweave.storage import file_system, is_complete, remove
 
 # Written so that quotes are doubled and edge spaces are kept: any CSV reader gets the
 # same text back.
@@ -29,6 +29,33 @@ def write_table(df: DataFrame, path: str, rebalance: bool = False) -> None:
     (df.hint("rebalance") if rebalance else df).write.mode("overwrite").parquet(path)
 
 
+def write_ordered(df: DataFrame, path: str, order: list[str], keys: list[str]) -> None:
+    """Write ``df`` as parquet in the order of the columns ``order``, over all files.
+
+    Files and row groups then hold narrow ranges of them, which scans skip by their statistics;
+    ``keys`` get Bloom filters besides. A value that fills several files is divided by the
+    columns after it.
+    """
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    blooms = {f"parquet.bloom.filter.enabled#{key}": "true" for key in keys}
+    ordered.write.mode("overwrite").options(**blooms).parquet(path)
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int, name: str) -> None:
+    """Write ``df`` as the parquet table ``name`` at ``path``, in buckets by ``key``.
+
+    Tables in equally many buckets by the same key join without a shuffle. Each bucket is one
+    file in the order of the key. Whatever is at ``path`` is replaced.
+    """
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    remove(spark, path)
+    (
+        df.write.format("parquet").option("path", path).bucketBy(buckets, key).sortBy(key)
+        .saveAsTable(name)
+    )
+
+
 def write_table_once(
     spark: SparkSession, build: Callable[[], DataFrame], path: str, rebalance: bool = False
 ) -> bool:

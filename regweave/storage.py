@@ -39,6 +39,26 @@ def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
     stream.close()
 
 
+def put_file(spark: SparkSession, path: str, content: bytes) -> None:
+    """Put a small file at ``path``, whole or not at all: written beside it and renamed."""
+    fs, target = file_system(spark, path)
+    attempt = f"{path}.{uuid.uuid4().hex}.tmp"
+    write_bytes(spark, attempt, content)
+    fs.delete(target, False)
+    if not fs.rename(file_system(spark, attempt)[1], target):
+        raise RuntimeError(f"could not move a file to {path}")
+
+
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    """The content of a small file."""
+    fs, target = file_system(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, target = file_system(spark, path)
     return fs.exists(target)
@@ -72,6 +92,19 @@ def files(spark: SparkSession, root: str, pattern: str) -> list[str]:
     return sorted(entry.getPath().toString() for entry in found if entry.isFile())
 
 
+def described_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, length, time of change) of the file at ``path``, or of the files in that folder
+    that a read of it would see, in text order."""
+    fs, target = file_system(spark, path)
+    if not fs.exists(target):
+        return []
+    found = [entry for entry in fs.listStatus(target) if entry.isFile()]
+    shown = [entry for entry in found if entry.getPath().getName()[0] not in "._"]
+    return sorted(
+        (entry.getPath().toString(), entry.getLen(), entry.getModificationTime()) for entry in shown
+    )
+
+
 def scratch_directory(spark: SparkSession, purpose: str) -> str:
     """A new directory for intermediate tables, in the folder all executors share.
 

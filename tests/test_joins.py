@@ -229,3 +229,41 @@ def test_keys_of_small_tables_are_not_counted(spark, no_broadcast, monkeypatch):
     monkeypatch.setattr(joins, "hot_keys", lambda sides: [{}] * len(sides) if not sides else 1 / 0)
     joins.prepare([join])
     assert join.hot == [{}, {}]
+
+
+@pytest.fixture
+def keys_too_many_to_broadcast(spark):
+    """A limit under which 20,000 keys are too large, but a filter of them is not."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "20KB")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_rows_without_a_key_are_dropped_before_the_shuffle(spark, plan, tmp_path, keys_too_many_to_broadcast):
+    text = F.concat(F.lit("company-"), F.col("id").cast("string"))
+    path = str(tmp_path / "keys")
+    spark.range(0, 200_000, 10, 4).select(text.alias("k")).write.parquet(path)
+    keys = Right(spark.read.parquet(path), unique=True)
+    rows = spark.range(0, 200_000, 1, 8).select(
+        F.when(F.col("id") % 100 == 5, None).otherwise(text).alias("k"), "id"
+    )
+    got = semi_join(rows, "k", keys, spread=False, prefilter=True)
+    assert keys.small is False or keys.small is None
+    below = plan(got)[plan(got).index("SortMergeJoin"):]
+    assert "BroadcastHashJoin" in below and "LeftSemi" in below
+    assert [r.id for r in got.orderBy("id").collect()] == list(range(0, 200_000, 10))
+    bloom, words = joins.key_filter(keys.df, "k", 20_000)
+    passed = joins.may_match(rows, "k", bloom, words).count()
+    assert 20_000 <= passed < 20_000 + 0.08 * 180_000
+
+
+def test_filters_too_large_to_broadcast_are_left_out(spark, bag, plan, no_broadcast):
+    rows = spark.range(500).select((F.col("id") % 50).cast("string").alias("k"), "id")
+    keys = spark.range(0, 50, 3).select(F.col("id").cast("string").alias("k"))
+    got = semi_join(rows, "k", keys, prefilter=True)
+    assert "BroadcastHashJoin" not in plan(got)
+    assert bag(got) == bag(rows.where("cast(k as int) % 3 = 0"))
+    none = spark.createDataFrame([], "k string")
+    assert semi_join(rows, "k", none, prefilter=True).count() == 0
