@@ -85,9 +85,9 @@ class PhraseIndex:
     """
 
     def __init__(self, words: list[bytes], bwt: np.ndarray, seed: int):
-        self.follow = np.argsort(bwt, kind="stable")  # the row of the next word
+        self.follow = np.argsort(bwt, kind="stable").astype(np.int32)  # the row of the next word
         sizes = np.bincount(bwt, minlength=len(words))
-        self.labels = np.repeat(np.arange(len(words)), sizes) - 1
+        self.labels = np.repeat(np.arange(len(words), dtype=np.int32), sizes) - 1
         self.counts = sizes[1:]
         self.hashes = np.array(
             [xxhash.xxh3_64_intdigest(word, seed) for word in words[1:]], np.uint64
@@ -99,7 +99,7 @@ class PhraseIndex:
         """Forget the phrases that are not chosen; ``chosen`` has the numbers of the others."""
         self.chosen = np.flatnonzero(chosen)
         numbers = np.append(np.where(chosen, np.cumsum(chosen) - 1, -1), -1)
-        self.labels = numbers[self.labels]
+        self.labels = numbers.astype(np.int32)[self.labels]
         self.counts, self.hashes = self.counts[chosen], self.hashes[chosen]
         if self.length > 1:
             self.before, self.after = self.before[chosen], self.after[chosen]
@@ -117,7 +117,7 @@ class PhraseIndex:
         self.counts = np.diff(np.append(starts, len(rows)))
         mixed = one * _MIX[0] ^ (other << np.uint64(23) | other >> np.uint64(41)) * _MIX[1]
         self.hashes = (mixed ^ mixed >> np.uint64(31)) * _MIX[2]
-        self.labels = np.full(len(self.labels), -1)
+        self.labels = np.full(len(self.labels), -1, np.int32)
         self.labels[rows] = np.cumsum(new) - 1
         self.length += 1
 
@@ -185,9 +185,10 @@ def _shards(shard_words: int):
             )
 
         for batch in batches:
-            langs = batch.column("lang").to_pylist()
-            for lang, data in zip(langs, as_bytes(batch.column("text"))):
+            texts = batch.column("text")
+            for i, lang in enumerate(batch.column("lang").to_pylist()):
                 own = buffers.setdefault((lang, 1), _Buffer())
+                data = as_bytes(texts.slice(i, 1))[0]  # one text at a time is held twice
                 if not data:
                     continue
                 data = _BREAK + data.translate(_TABLE)
@@ -295,7 +296,7 @@ def _texts(longest: int):
 
 
 def index_shards(
-    docs: DataFrame, lang: str = "lang", text: str = "text", shard_words: int = 1 << 20
+    docs: DataFrame, lang: str = "lang", text: str = "text", shard_words: int = 1 << 19
 ) -> tuple[DataFrame, int]:
     """Index rows bucketed by shard, and the bytes of all texts. NULL languages are ``und``."""
     spark = docs.sparkSession
@@ -321,7 +322,7 @@ def phrases(
     least: int = 30,
     lang: str = "lang",
     text: str = "text",
-    shard_words: int = 1 << 20,
+    shard_words: int = 1 << 19,
 ) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, width, f) of all phrases of up to ``longest`` words with at least
     ``least`` occurrences in a language, and (lang, n): its words.
