@@ -6,7 +6,8 @@ Sets of word shingles are linked when 100 * intersection >= threshold * union. T
    least k tokens among their first n - ceil(t n) + k ones. So a set is dropped as certainly
    unlinked unless enough tokens of that prefix occur elsewhere, which is counted by an
    exchange of packed tokens. This drops most documents.
-2. Equal sets become one class; only its representative goes on.
+2. Equal sets, by a digest of 128 bits, become one class; only its representative goes on, under
+   a number of its own.
 3. Token groups. For each prefix token (k = 1) the sets that have it form a signature tree:
    nodes hold the OR of their members' token bitmaps and their size range, and a dual
    traversal leaves out node pairs whose largest possible overlap is too small. What remains
@@ -22,12 +23,13 @@ of its own, so no task holds more than two blocks.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regweave.llm.common import as_bytes, attach_groups, small_side, space_words, stored
@@ -77,10 +79,17 @@ def shingle_set(words: list[bytes], width: int, hashes: dict) -> np.ndarray:
 
 
 class Bounds:
-    """The arithmetic of a threshold in percent."""
+    """The arithmetic of a threshold in percent.
+
+    ``reach``: by how many levels the bitmaps of linked sets can differ, as a level covers
+    half the tokens of the one before. A bitmap can be halved three times.
+    """
 
     def __init__(self, percent: int):
+        if not 13 <= percent <= 100:
+            raise ValueError(f"a threshold of {percent} percent is not between 13 and 100")
         self.percent = percent
+        self.reach = math.ceil(math.log2(100 / percent))
 
     def least_overlap(self, size: int) -> int:
         """What a set of this size shares with any set that it is linked to."""
@@ -119,15 +128,15 @@ def _bits(bitmaps: np.ndarray) -> np.ndarray:
     return np.unpackbits(bitmaps.view(np.uint8), axis=1, bitorder="little")
 
 
-def _coarser(bitmaps: np.ndarray) -> np.ndarray:
-    """The half of each bitmap that the next level covers too."""
-    return bitmaps[:, : bitmaps.shape[1] // 2]
+def _coarser(bitmaps: np.ndarray, levels: int) -> np.ndarray:
+    """The part of each bitmap that covers what a bitmap so many levels higher does."""
+    return np.ascontiguousarray(bitmaps[:, : bitmaps.shape[1] >> levels])
 
 
-def _paired(bitmaps: np.ndarray) -> np.ndarray:
-    """Bitmaps of half the width: each bit stands for a pair of bits."""
+def _paired(bitmaps: np.ndarray, levels: int) -> np.ndarray:
+    """Bitmaps as narrow as ``_coarser`` ones: each bit stands for ``2 ** levels`` bits."""
     bits = _bits(bitmaps)
-    either = bits[:, 0::2] | bits[:, 1::2]
+    either = bits.reshape(len(bits), -1, 1 << levels).any(axis=2)
     return np.packbits(either, axis=1, bitorder="little").view(np.uint64)
 
 
@@ -235,8 +244,8 @@ class SignatureTree:
 def _forests(bounds: Bounds, nodes, sizes, levels, bitmaps, verify=None):
     """Links among sets whose bitmaps may have different levels.
 
-    Linked sets differ by one level at most. Sets of one level make a tree; those of two
-    neighbouring levels make another one, over bitmaps that mean the same for both.
+    Sets of one level make a tree; those of two levels that links can span make another one,
+    over bitmaps that mean the same for both.
     """
     order = np.lexsort((nodes, sizes))
     nodes, sizes, levels, bitmaps = nodes[order], sizes[order], levels[order], bitmaps[order]
@@ -255,13 +264,17 @@ def _forests(bounds: Bounds, nodes, sizes, levels, bitmaps, verify=None):
         chosen = np.flatnonzero(levels == level)
         if len(chosen) > 1:
             run(chosen, bitmaps[chosen])
-        if level + 1 in present:
-            low, high = chosen, np.flatnonzero(levels == level + 1)
+        for distance in range(1, bounds.reach + 1):
+            if level + distance not in present:
+                continue
+            low, high = chosen, np.flatnonzero(levels == level + distance)
             # Only sizes near the border can be linked across it.
             low = low[100 * sizes[low] >= bounds.percent * sizes[high].min()]
             high = high[bounds.percent * sizes[high] <= 100 * sizes[chosen].max()]
             if len(low) and len(high):
-                maps = np.concatenate([_coarser(bitmaps[low]), _paired(bitmaps[high])])
+                maps = np.concatenate(
+                    [_coarser(bitmaps[low], distance), _paired(bitmaps[high], distance)]
+                )
                 run(np.concatenate([low, high]), maps)
     return links
 
@@ -281,7 +294,16 @@ def _batch_tokens(bounds: Bounds, width: int, parts: int):
     return run
 
 
-_SETS = "doc_id long, n_shingles long, node long, tokens binary, probes binary"
+_SETS = (
+    "doc_id long, identity binary, n_shingles long, class binary, tokens binary, probes binary"
+)
+
+
+def identity(doc_id: str, text: str) -> Column:
+    """What tells rows apart: SHA-256 of the id (NULL: nothing), a colon and the text. Rows of
+    equal identity are copies of one document."""
+    own = F.coalesce(F.col(doc_id).cast("long").cast("string"), F.lit(""))
+    return F.unhex(F.sha2(F.concat(own, F.lit(":"), F.coalesce(F.col(text), F.lit(""))), 256))
 
 
 def _batch_sets(bounds: Bounds, width: int):
@@ -289,14 +311,16 @@ def _batch_sets(bounds: Bounds, width: int):
 
     def run(table: pa.Table, shared: pa.Table) -> pa.Table:
         keys, _ = unpack(shared)
-        rows = {"n": [], "node": [], "tokens": [], "probes": []}
+        rows = {"identity": [], "n": [], "class": [], "tokens": [], "probes": []}
         texts = as_bytes(table.column("text").combine_chunks()) if table.num_rows else []
-        for data in texts:
+        for doc_id, data in zip(table.column("doc_id").to_pylist(), texts):
+            own = b"%d:" % doc_id if doc_id is not None else b":"
+            rows["identity"].append(hashlib.sha256(own + data).digest())
             tokens = shingle_set(space_words(data), width, hashes)
             size = len(tokens)
-            digest = hashlib.blake2b(tokens.tobytes(), digest_size=8).digest()
+            digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
             rows["n"].append(size)
-            rows["node"].append(int.from_bytes(digest, "little", signed=True) if size else None)
+            rows["class"].append(digest if size else None)
             known = positions(keys, tokens[: bounds.prefix(size, bounds.spare(size))]) >= 0
             if size and known.sum() >= bounds.needed(size):
                 first = bounds.prefix(size)
@@ -308,10 +332,10 @@ def _batch_sets(bounds: Bounds, width: int):
         ids = table.column("doc_id").combine_chunks() if table.num_rows else pa.array([], pa.int64())
         return pa.table(
             [
-                ids, pa.array(rows["n"], pa.int64()), pa.array(rows["node"], pa.int64()),
-                pa.array(rows["tokens"], pa.binary()), pa.array(rows["probes"], pa.binary()),
+                ids, pa.array(rows["identity"], pa.binary()), pa.array(rows["n"], pa.int64()),
+                *[pa.array(rows[name], pa.binary()) for name in ("class", "tokens", "probes")],
             ],
-            names=["doc_id", "n_shingles", "node", "tokens", "probes"],
+            names=["doc_id", "identity", "n_shingles", "class", "tokens", "probes"],
         )
 
     return run
@@ -362,17 +386,16 @@ def _small_groups(bounds: Bounds, small, groups, nodes, sizes, levels, maps) ->
         j = i + distance
         low, high = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
         near = (100 * low >= bounds.percent * high) & (nodes[i] != nodes[j])
-        near &= abs(levels[i] - levels[j]) <= 1
         i, j = i[near], j[near]
         upper = levels[i] > levels[j]
         i, j = np.where(upper, j, i), np.where(upper, i, j)  # i has the lower level
-        across = levels[i] != levels[j]
-        for own, left, right in ((~across, None, None), (across, _coarser, _paired)):
-            a, b = i[own], j[own]
+        apart = levels[j] - levels[i]
+        for gap in range(bounds.reach + 1):
+            a, b = i[apart == gap], j[apart == gap]
             if len(a):
                 one, other = maps[a], maps[b]
-                if left is not None:
-                    one, other = np.ascontiguousarray(left(one)), right(other)
+                if gap:
+                    one, other = _coarser(one, gap), _paired(other, gap)
                 keep = _allowed(bounds, sizes[a], sizes[b], one, other)
                 found.append(np.stack([nodes[a[keep]], nodes[b[keep]]], axis=1))
     return np.concatenate(found) if found else np.empty((0, 2), np.int64)
@@ -450,7 +473,7 @@ def _verified_links(bounds: Bounds):
     return run
 
 
-def join(
+def linked(
     docs: DataFrame,
     percent: int = 85,
     width: int = 4,
@@ -459,13 +482,10 @@ def join(
     group_rows: int = 8192,
     group_tokens: int = 4 << 20,
 ) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id.
+    """One row per document: doc_id, identity, n_shingles, component_id, component.
 
-    Words are runs of other than ASCII white space, A-Z lower-cased; a set holds the
-    distinct shingles of ``width`` words, a shorter text makes one shingle. NULL and empty
-    texts have empty sets, linked with nothing. ``component_id`` is the smallest doc_id that
-    links reach, the row's own included; NULL ids count as larger than all others. Repeated
-    rows are linked like any equal sets. Ids must be integers. An empty table gives no rows.
+    As ``join``. ``component`` is the same for the documents of one component and for no other,
+    also where ids repeat, and NULL for empty sets; ``identity`` is that of the function.
     """
     bounds = Bounds(percent)
     rows, size = in_batches(docs, doc_id, text)
@@ -477,9 +497,10 @@ def join(
         by_batch.cogroup(shared.groupBy("batch")).applyInArrow(_batch_sets(bounds, width), _SETS),
         "sets",
     )
+    # The numbers are written once, so they stay what they are.
     survivors = stored(
-        sets.where("tokens is not null").select("node", "n_shingles", "tokens", "probes")
-        .dropDuplicates(["node"]),
+        sets.where("tokens is not null").select("class", "n_shingles", "tokens", "probes")
+        .dropDuplicates(["class"]).withColumn("node", F.monotonically_increasing_id()),
         "survivors",
     )
     probes = survivors.select("node", "n_shingles", "tokens", "probes").mapInArrow(
@@ -499,21 +520,77 @@ def join(
         _split_large(gathered, "candidate", load, group_tokens).select("group", "node", "tokens")
         .groupBy("group").applyInArrow(_verified_links(bounds), "a long, b long")
     )
-    roots = components(links)
-    classes = sets.where("node is not null").groupBy("node").agg(
+    roots = survivors.select("node", "class").join(components(links), "node").select("class", "root")
+    classes = sets.where("class is not null").groupBy("class").agg(
         F.min("doc_id").alias("best"), F.count(F.lit(1)).alias("_size")
     )
-    named = classes.join(roots, "node", "left").withColumn(
-        "root", F.coalesce("root", F.col("node"))
+    # A class without a link is a component of its own; its digest is longer than a number.
+    number = F.unhex(F.lpad(F.hex("root"), 16, "0"))
+    named = classes.join(roots, "class", "left").withColumn(
+        "component", F.coalesce(number, F.col("class"))
     )
     # A component of many classes is one key here; only numbers move, and partial sums first.
-    least = named.groupBy("root").agg(
+    least = named.groupBy("component").agg(
         F.min("best").alias("component_id"), F.count(F.lit(1)).alias("_classes")
     )
-    known = attach_groups(named, least, ["root"], "_classes", sets.count())
-    known = known.select("node", "component_id", "_size")
-    narrow = sets.select("doc_id", "n_shingles", "node")
-    linked = attach_groups(narrow.where("node is not null"), known, ["node"], "_size", sets.count())
-    empty = narrow.where("node is null").withColumn("component_id", F.col("doc_id"))
-    out = ["doc_id", "n_shingles", "component_id"]
-    return linked.select(*out).unionByName(empty.select(*out))
+    total = sets.count()
+    known = attach_groups(named, least, ["component"], "_classes", total)
+    known = known.select("class", "component", "component_id", "_size")
+    narrow = sets.select("doc_id", "identity", "n_shingles", "class")
+    linked_rows = attach_groups(narrow.where("class is not null"), known, ["class"], "_size", total)
+    none = F.lit(None).cast("binary")
+    empty = narrow.where("class is null").withColumns(
+        {"component_id": F.col("doc_id"), "component": none}
+    )
+    out = ["doc_id", "identity", "n_shingles", "component_id", "component"]
+    return linked_rows.select(*out).unionByName(empty.select(*out))
+
+
+def join(docs: DataFrame, *args, **options) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id; parameters as ``linked``.
+
+    Words are runs of other than ASCII white space, A-Z lower-cased; a set holds the
+    distinct shingles of ``width`` words, a shorter text makes one shingle. NULL and empty
+    texts have empty sets, linked with nothing. ``component_id`` is the smallest doc_id that
+    links reach, the row's own included; NULL ids count as larger than all others. Repeated
+    rows are linked like any equal sets. Ids must be integers. An empty table gives no rows.
+    ``percent`` is 13 at least.
+    """
+    return linked(docs, *args, **options).select("doc_id", "n_shingles", "component_id")
+
+
+def keep_one(
+    docs: DataFrame, percent: int = 85, width: int = 4, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``docs`` with one row of each component: that with the smallest id, of several texts
+    with that id the one with the smallest identity. NULL ids count as larger than all others.
+
+    Exactly the other rows of a component go, whatever else shares their ids; copies of one
+    row (same id and text) are one document, of which any one stays. Documents with empty
+    sets all stay.
+    """
+    found = stored(linked(docs, percent, width, doc_id, text), "linked")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "identity")
+    groups = stored(
+        found.where("component is not null").groupBy("component").agg(
+            F.min(first).alias("_first"), F.count(F.lit(1)).alias("_rows")
+        ).where("_rows > 1"),
+        "near-copies",
+    )
+    members = attach_groups(
+        found.select("component", "identity"), groups, ["component"], "_rows", found.count()
+    )
+    stays = F.col("identity") == F.col("_first.identity")
+    losers = small_side(members.where(~stays).select("identity").distinct(), "near-losers")
+    repeats = stored(
+        members.where(stays).groupBy("identity").count().where("count > 1").select("identity"),
+        "near-repeats",
+    )
+    named = docs.withColumn("__rw_identity", identity(doc_id, text))
+    kept = named.join(losers.withColumnRenamed("identity", "__rw_identity"), "__rw_identity", "left_anti")
+    if repeats.take(1):
+        several = repeats.withColumnRenamed("identity", "__rw_identity")
+        kept = kept.join(several, "__rw_identity", "left_anti").unionByName(
+            kept.join(several, "__rw_identity", "left_semi").dropDuplicates(["__rw_identity"])
+        )
+    return kept.select(*docs.columns)

@@ -103,7 +103,7 @@ def intervals(
 
 
 class _Batch:
-    """The documents of a batch in the order of their ids, in pieces of bounded size."""
+    """The documents of a batch in the order of their ids, given in pieces of bounded size."""
 
     def __init__(self, table: pa.Table):
         texts = as_bytes(table.column("text").combine_chunks()) if table.num_rows else []
@@ -119,20 +119,39 @@ class _Batch:
         self.texts = [row[2] for row in keyed]
         self.ids = [row[3] for row in keyed]
 
-    def pieces(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(first row, bytes, ends of rows)."""
+    def pieces(self, length: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(first row, where the piece begins in it, bytes, ends of rows).
+
+        A piece has whole rows, or a part of a long one that overlaps the next part by
+        ``length - 1`` bytes, so that each window of the row lies in one part.
+        """
         first, size = 0, 0
         for row, text in enumerate(self.texts):
+            if len(text) > 2 * _STEP:
+                if row > first:
+                    yield self._rows(first, row)
+                raw = np.frombuffer(text, np.uint8)
+                for start in range(0, len(text), _STEP):
+                    part = raw[start : start + _STEP + length - 1]
+                    yield row, start, part, np.array([len(part)])
+                first, size = row + 1, 0
+                continue
             size += len(text)
-            if size >= _STEP or row == len(self.texts) - 1:
-                own = self.texts[first : row + 1]
-                yield first, np.frombuffer(b"".join(own), np.uint8), np.cumsum([len(t) for t in own])
+            if size >= _STEP:
+                yield self._rows(first, row + 1)
                 first, size = row + 1, 0
+        if first < len(self.texts):
+            yield self._rows(first, len(self.texts))
+
+    def _rows(self, first: int, end: int) -> tuple[int, int, np.ndarray, np.ndarray]:
+        own = self.texts[first:end]
+        return first, 0, np.frombuffer(b"".join(own), np.uint8), np.cumsum([len(t) for t in own])
 
 
 def _batch_keys(length: int, parts: int):
     def run(table: pa.Table) -> pa.Table:
-        found = [intervals(data, ends, length)[2] for _, data, ends in _Batch(table).pieces()]
+        pieces = _Batch(table).pieces(length)
+        found = [intervals(data, ends, length)[2] for _, _, data, ends in pieces]
         batch = table.column("batch")[0].as_py()
         return pa.Table.from_batches([pack(batch, np.concatenate(found), parts)])
 
@@ -149,14 +168,14 @@ def _batch_intervals(length: int, parts: int, hot: int):
         kinds, values, rows, starts, contents = [], [], [], [], []
         windows: list[tuple] = []
         seen: set[bytes] = set()
-        for first, data, ends in batch.pieces():
+        for first, base, data, ends in batch.pieces(length):
             begin, counts, anchors = intervals(data, ends, length)
             at = positions(keys, anchors)
             chosen = np.flatnonzero(at >= 0)
             if not len(chosen):
                 continue
             row = np.searchsorted(ends, begin, side="right")
-            offset = begin - np.concatenate([[0], ends])[row]
+            offset = base + begin - np.concatenate([[0], ends])[row]
             frequent = totals[at] > hot
             raw = data.tobytes()
             for i in chosen[~frequent[chosen]].tolist():
@@ -437,30 +456,38 @@ def _remove(length: int):
         order = np.argsort(row, kind="stable")
         row, start, count = row[order], start[order], count[order]
         batch = _Batch(table)
-        spans, kept = [], []
-        for first, data, ends in batch.pieces():
+        spans: list[list] = [[] for _ in batch.texts]
+        for first, base, data, ends in batch.pieces(length):
             begin, windows, anchors = intervals(data, ends, length)
             found = positions(keys, anchors) >= 0
             step = np.zeros(len(data) + 1, np.int32)
             np.add.at(step, begin[found], 1)
             np.add.at(step, (begin + windows)[found], -1)
             own = slice(*np.searchsorted(row, [first, first + len(ends)]))
-            offset = np.concatenate([[0], ends])[row[own] - first] + start[own]
-            np.add.at(step, offset, -1)
-            np.add.at(step, offset + count[own], 1)
+            starts = np.concatenate([[0], ends])
+            at = starts[row[own] - first] + start[own] - base
+            # The first windows of other parts of a long row lie outside.
+            low, high = np.clip(at, 0, len(data)), np.clip(at + count[own], 0, len(data))
+            np.add.at(step, low, -1)
+            np.add.at(step, high, 1)
             gone = np.flatnonzero(np.cumsum(step[:-1]) > 0)  # windows that are not first
-            cover = np.zeros(len(data) + 1, np.int32)
-            np.add.at(cover, gone, 1)
-            np.add.at(cover, gone + length, -1)
-            removed = np.cumsum(cover[:-1]) > 0
-            at = 0
-            for end in ends.tolist():
-                edges = np.flatnonzero(np.diff(removed[at:end], prepend=False, append=False))
-                spans.append([
-                    {"start": s, "end": e} for s, e in zip(edges[::2].tolist(), edges[1::2].tolist())
-                ])
-                kept.append(data[at:end][~removed[at:end]].tobytes())
-                at = end
+            rows_gone = np.searchsorted(ends, gone, side="right")
+            new = np.ones(len(gone), bool)  # windows that touch no earlier one of their row
+            new[1:] = (gone[1:] > gone[:-1] + length) | (rows_gone[1:] != rows_gone[:-1])
+            last = np.append(new[1:], True)[: len(gone)]
+            offset = base - starts[rows_gone]
+            for r, s, e in zip(
+                (first + rows_gone[new]).tolist(), (gone + offset)[new].tolist(),
+                (gone + offset)[last].tolist(),
+            ):
+                if spans[r] and s <= spans[r][-1]["end"]:  # goes on from the part before
+                    spans[r][-1]["end"] = e + length
+                else:
+                    spans[r].append({"start": s, "end": e + length})
+        kept = []
+        for text, own in zip(batch.texts, spans):
+            edges = [0, *[edge for span in own for edge in span.values()], len(text)]
+            kept.append(b"".join(text[s:e] for s, e in zip(edges[::2], edges[1::2])))
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         return pa.table(
             [

@@ -80,20 +80,18 @@ def chunk_table(decided: DataFrame, page_id: str, url: str, html: str) -> DataFr
     """One row per chunk of each payload; a revisit and an empty payload have one empty row."""
     body = F.when(F.col("refers_to").isNull(), F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8"))
     body = F.coalesce(body, F.lit(b""))
-    last = F.floor(F.greatest(F.octet_length(body) - 1, F.lit(0)) / CHUNK_BYTES).cast("int")
-    chunks = F.transform(
-        F.sequence(F.lit(0), last),
-        lambda i: F.struct(
-            i.alias("chunk_no"),
-            F.substring(body, i * CHUNK_BYTES + 1, F.lit(CHUNK_BYTES)).alias("chunk"),
-        ),
-    )
-    return decided.select(
+    last = F.floor(F.greatest(F.octet_length("_body") - 1, F.lit(0)) / CHUNK_BYTES).cast("int")
+    records = decided.select(
         F.col(page_id).cast("string").alias("record"), F.col(url).alias("url"), "digest",
         F.col("refers_to").cast("string").alias("refers"),
-        F.col("refers_to").isNotNull().alias("is_revisit"), "n_bytes",
-        F.explode(chunks).alias("c"),
-    ).select("record", "url", "digest", "refers", "is_revisit", "n_bytes", "c.chunk_no", "c.chunk")
+        F.col("refers_to").isNotNull().alias("is_revisit"), "n_bytes", body.alias("_body"),
+    )
+    # Each row cuts its own chunk; the chunks of a payload are never together.
+    numbered = records.withColumn("chunk_no", F.explode(F.sequence(F.lit(0), last)))
+    start = F.col("chunk_no") * CHUNK_BYTES + 1
+    return numbered.withColumn(
+        "chunk", F.substring("_body", start, F.lit(CHUNK_BYTES))
+    ).select("record", "url", "digest", "refers", "is_revisit", "n_bytes", "chunk_no", "chunk")
 
 
 def _uri(record: str | None) -> str:
@@ -136,10 +134,13 @@ def _writer(folder: str, archive_bytes: int):
         system.create_dir(path, recursive=True)
         names: list[str] = []
         counts: list[int] = []
-        sink = member = None
+        sink = member = stated = None
+        running = hashlib.sha1()
 
         def finish(file, zipped):
             if zipped is not None:
+                if stated is not None and running.hexdigest() != stated:
+                    raise ValueError(f"{names[-1]}: a payload is not what its digest says")
                 zipped.write(b"\r\n\r\n")
                 zipped.close()
             if file is not None and zipped is None:
@@ -157,6 +158,8 @@ def _writer(folder: str, archive_bytes: int):
                     member = gzip.GzipFile(fileobj=sink, mode="wb", compresslevel=3, mtime=0)
                     member.write(_head(row))
                     counts[-1] += 1
+                    running, stated = hashlib.sha1(), None if row["is_revisit"] else row["digest"]
+                running.update(row["chunk"] or b"")
                 member.write(row["chunk"] or b"")
         finish(None, member)
         finish(sink, None)
@@ -179,6 +182,9 @@ def write(
 ) -> DataFrame:
     """Writes one record per row; returns the list of archives (archive, records).
 
+    The SHA-1 of a payload is carried along its chunks, and must come out as the digest in the
+    record's header.
+
     Each task writes its own archives, a new one after ``archive_bytes``. Every record is a
     gzip member of its own. An empty table writes nothing.
     """

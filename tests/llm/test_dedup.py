@@ -1,11 +1,14 @@
 """Exact dedup, suffix dedup, Jaccard join, components, mixing, WARC and the pipeline."""
 
 import gzip
+import hashlib
 import random
 
 import brute
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,6 +158,56 @@ def test_suffix_dedup_of_rows_with_the_same_id(make, awkward):
     assert suffix_dedup.dedup(make([])).collect() == []
 
 
+def test_texts_longer_than_a_piece(monkeypatch):
+    """Windows, repeats and removed runs across the cuts of a long text."""
+    monkeypatch.setattr(suffix_dedup, "_STEP", 700)
+    random.seed(12)
+    letters = "abcdefgh"
+    block = ["".join(random.choices(letters, k=n)) for n in (130, 333, 1500, 99)]
+    pairs = []
+    for i in range(14):
+        parts = [random.choice(block) if random.random() < 0.5 else
+                 "".join(random.choices(letters, k=random.randrange(400))) for _ in range(random.randrange(12))]
+        pairs.append((i, "".join(parts)))
+    pairs += [(50, "ab" * 2000), (51, "x" * 3000), (52, block[2] + block[2]), (53, "x" * 120), (54, None)]
+    batch = suffix_dedup._Batch(pa.table({
+        "doc_id": [i for i, _ in pairs], "text": [t for _, t in pairs]}))
+    assert max(len(data) for _, _, data, _ in batch.pieces(100)) <= 700 + 1400
+    for first, base, data, ends in batch.pieces(100):
+        assert base == 0 or len(ends) == 1
+    assert solved_in_one_process(pairs) == solved_in_one_process(pairs, hot=3) == brute.repeats(pairs)
+
+
+def solved_in_one_process(pairs, length=100, hot=2000):
+    """The steps of ``dedup`` on one batch, where changed settings reach."""
+    table = pa.table({
+        "batch": pa.array([0] * len(pairs), pa.int64()), "doc_id": pa.array([i for i, _ in pairs], pa.int64()),
+        "text": pa.array([t for _, t in pairs], pa.string()),
+    })
+    keys = suffix_dedup._batch_keys(length, 64)(table)
+    found = pa.concat_tables([
+        packed._add_up(keys.filter(pa.compute.equal(keys.column("part"), part)), 2)
+        for part in set(keys.column("part").to_pylist())
+    ])
+    rows_ = suffix_dedup._batch_intervals(length, 64, hot)(table, found)
+    rows_ = rows_.sort_by([("kind", "ascending"), ("key", "ascending")])
+    marks = pa.Table.from_batches(list(suffix_dedup._shard(length)(rows_.to_batches())))
+    answers = pa.concat_tables([found, marks], promote_options="default")
+    done = suffix_dedup._remove(length)(table, answers).to_pylist()
+    return sorted(
+        ((r["doc_id"], r["n_bytes"], r["n_bytes"] - len(r["kept"]), len(r["removed"]),
+          hashlib.sha256(r["kept"]).hexdigest()) for r in done), key=str,
+    )
+
+
+@pytest.mark.parametrize("hot", [2000, 1])
+def test_steps_in_one_process_equal_brute_force(hot):
+    random.seed(13)
+    parts = ["".join(random.choices("abc", k=150)) for _ in range(4)]
+    pairs = [(i, "".join(random.choices(parts, k=3)) + str(i)) for i in range(30)]
+    assert solved_in_one_process(pairs, hot=hot) == brute.repeats(pairs)
+
+
 # Jaccard join
 
 def near_copies():
@@ -169,11 +222,14 @@ def near_copies():
     for i in range(30):  # sizes around the border between two signature levels
         words = [f"u{j}" for j in range(240 + i)]
         pairs.append((2000 + i, " ".join(words)))
+    for i, size in enumerate((70, 256, 610, 1400, 3000)):  # links across levels, for low thresholds
+        pairs.append((3000 + i, " ".join(f"z{j}" for j in range(size))))
     return pairs
 
 
 @pytest.mark.parametrize("percent, width, limits", [
-    (85, 4, {}), (80, 5, {"group_rows": 4, "group_tokens": 2000}),
+    (85, 4, {}), (80, 5, {"group_rows": 4, "group_tokens": 2000}), (40, 2, {}),
+    (20, 3, {"group_rows": 20}),
 ])
 def test_jaccard_equals_brute_force(make, awkward, percent, width, limits):
     pairs = awkward + near_copies()
@@ -187,6 +243,59 @@ def test_jaccard_on_documents_and_empty_table(spark, make):
     assert jaccard.join(make([])).collect() == []
 
 
+def test_thresholds_that_bitmaps_cannot_serve():
+    for percent in (0, 12, 101):
+        with pytest.raises(ValueError):
+            jaccard.Bounds(percent)
+
+
+def keep_one_rows(make, pairs):
+    """(id, first word) of the rows that stay."""
+    docs = make(pairs)
+    kept = jaccard.keep_one(docs, 80, 5)
+    assert kept.dtypes == docs.dtypes
+    return sorted(((r.doc_id, (r.text or "").split(" ")[0]) for r in kept.collect()), key=str)
+
+
+def test_only_the_near_copies_of_a_shared_id_go(make):
+    one = " ".join(f"a{i}" for i in range(80))
+    two, three = [" ".join(f"{c}{i}" for i in range(70)) for c in "bc"]
+    unrelated = " ".join(f"d{i}" for i in range(50))
+    assert keep_one_rows(make, [(1, one), (5, one + " x"), (5, unrelated)]) == [(1, "a0"), (5, "d0")]
+    # Two components whose smallest id is the same, and near copies of one id.
+    pairs = [(5, one), (6, one + " x"), (5, two), (7, two + " y"), (8, three), (8, three + " z")]
+    assert keep_one_rows(make, pairs) == [(5, "a0"), (5, "b0"), (8, "c0")]
+
+
+def test_near_copies_without_ids_and_repeated_rows(make):
+    one = " ".join(f"a{i}" for i in range(80))
+    other = " ".join(f"d{i}" for i in range(50))
+    pairs = [(None, one), (None, one + " x"), (None, other), (3, None), (3, ""), (None, None)]
+    assert keep_one_rows(make, pairs) == [(3, ""), (3, ""), (None, ""), (None, "a0"), (None, "d0")]
+    assert keep_one_rows(make, [(None, one), (9, one + " x")]) == [(9, "a0")]
+    # Copies of one row are one document.
+    assert keep_one_rows(make, [(7, one)] * 3 + [(8, one), (2, other)] + [(None, other)] * 2) == [
+        (2, "d0"), (7, "a0")]
+    assert keep_one_rows(make, []) == []
+
+
+def test_many_equal_rows_without_an_id(spark):
+    text = " ".join(f"a{i}" for i in range(30))
+    rows = spark.range(50_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    other = spark.createDataFrame([(1, "b " * 9)], "doc_id long, text string")
+    docs = rows.unionByName(other)
+    assert jaccard.join(docs).where("n_shingles = 27 and component_id is null").count() == 50_000
+    assert sorted(r.doc_id or 0 for r in jaccard.keep_one(docs).collect()) == [0, 1]
+
+
+def test_sets_of_equal_numbers_are_told_apart_by_128_bits(make):
+    pairs = [(i, f"w{i} x{i} y{i} z{i} v{i}") for i in range(20)]
+    found = jaccard.linked(make(pairs + [(50, pairs[0][1])]))
+    assert found.where("octet_length(component) = 16").count() == 21
+    assert found.select("component").distinct().count() == 20
+    assert found.select("identity").distinct().count() == 21
+
+
 def test_tree_finds_all_links_of_random_sets():
     rng = np.random.default_rng(2)
     bounds = jaccard.Bounds(85)
@@ -341,6 +450,15 @@ def test_damage_is_an_error_and_empty_tables_are_not(spark, tmp_path, pages):
     assert warc.read(warc.write(warc.decide(frame.limit(0)))).collect() == []
 
 
+def test_a_payload_unlike_its_digest_is_not_written(spark):
+    pages = spark.createDataFrame([(1, "u", "x" * 600_000), (2, "u", "y")], "page_id long, url string, html string")
+    decided = warc.decide(pages)
+    chunks = warc.chunk_table(decided, "page_id", "url", "html").where("record = '1'")
+    assert [len(r.chunk) for r in chunks.orderBy("chunk_no").collect()] == [262144, 262144, 75712]
+    with pytest.raises(Exception, match="not what its digest says"):
+        warc.write(decided.withColumn("html", F.concat("html", F.lit("z"))))
+
+
 # The pipeline
 
 def test_pipeline_equals_brute_force(spark):
@@ -363,7 +481,7 @@ def test_pipeline_equals_brute_force(spark):
     }
 
 
-def test_short_benchmark_items_remove_no_clean_documents(spark, make, tmp_path):
+def test_short_benchmark_items_remove_no_clean_documents(spark, make, tmp_path, caplog):
     items = [(1, "the"), (2, "Is it so?"), (3, None), (4, "five Words of one item"),
              (5, " ".join(f"w{i}" for i in range(12)))]
     spark.createDataFrame(items, "item_id long, text string").write.parquet(
@@ -373,8 +491,14 @@ def test_short_benchmark_items_remove_no_clean_documents(spark, make, tmp_path):
         (4, "five words of one"), (5, " ".join(f"w{i}" for i in range(1, 11))), (6, None),
         (7, " ".join(f"w{i}" for i in range(9))),
     ])
-    kept = corpus_pipeline.remove_leaks(spark, docs, str(tmp_path))
+    with caplog.at_level("WARNING"):
+        kept = corpus_pipeline.remove_leaks(spark, docs, str(tmp_path))
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 4, 6, 7]
+    assert "2 benchmark items of under 5 words" in caplog.text and "hit documents 2 times" in caplog.text
+    report = corpus_pipeline.short_items(docs, spark.read.parquet(f"{tmp_path}/benchmark.parquet"), 5)
+    assert rows(report) == [(1, 1, 1), (2, 3, 1)]
+    kept = corpus_pipeline.remove_leaks(spark, docs, str(tmp_path), least_item_words=1)
+    assert sorted(r.doc_id for r in kept.collect()) == [4, 6, 7]
 
 
 @pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
