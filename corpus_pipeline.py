@@ -7,15 +7,16 @@ takes of each document.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regweave.llm import decontaminate, exact_dedup, jaccard, mixing, toxicity
 from regweave.llm.common import ascii_lower, id_remainder, stored, table
 
-#: Fewer words than these, in their order, stand in documents that know nothing of an item.
-LEAST_ITEM_WORDS = 5
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_log = logging.getLogger(__name__)
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,21 +37,47 @@ def remove_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by a Jaccard similarity of 0.8 on five-word shingles, the
-    document with the smallest id. Documents without an id stay."""
-    groups = jaccard.join(docs, percent=80, width=5)
-    others = groups.where("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
-
-
-def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    document with the smallest id; exactly the other rows of the group go."""
+    return jaccard.keep_one(docs, percent=80, width=5)
+
+
+def short_items(docs: DataFrame, benchmark: DataFrame, least_item_words: int) -> DataFrame:
+    """(item_id, n_words, n_documents): items of one to fewer than so many words, and the
+    documents that hold all of their words in order."""
+    words = F.size(F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(_WORD), F.lit(0)))
+    short = benchmark.select("item_id", "text", words.alias("n_words")).where(
+        (F.col("n_words") > 0) & (F.col("n_words") < least_item_words)
+    )
+    scanned = decontaminate.scan(docs.select("doc_id", "text"), short.select("item_id", "text"))
+    found = scanned.select(F.explode("hit_items").alias("item_id")).groupBy("item_id").count()
+    counted = short.groupBy("item_id").agg(F.max("n_words").cast("long").alias("n_words"))
+    named = found.select(F.col("item_id").alias("_id"), F.col("count").alias("n_documents"))
+    joined = counted.join(named, F.col("item_id").cast("string") == F.col("_id"), "left")
+    return joined.select("item_id", "n_words", F.coalesce("n_documents", F.lit(0)).alias("n_documents"))
+
+
+def remove_leaks(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, least_item_words: int = 5
+) -> DataFrame:
     """Documents without any ten-word window of a benchmark item.
 
-    The one window of a shorter item is all of its words; items below ``LEAST_ITEM_WORDS``
-    are no sign of a leak and remove nothing.
+    The one window of a shorter item is all of its words. Fewer than ``least_item_words``
+    words in their order stand in documents that know nothing of an item, so such items remove
+    nothing here (1 makes every item count); a warning names them and the documents that they
+    would remove (``short_items``).
     """
     benchmark = table(spark, sf_dir, "benchmark")
-    words = F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(_WORD), F.lit(0))
-    scanned = decontaminate.scan(docs, benchmark.where(F.size(words) >= LEAST_ITEM_WORDS))
+    words = F.size(F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(_WORD), F.lit(0)))
+    few = benchmark.where((words > 0) & (words < least_item_words)).count()
+    if few:
+        report = short_items(docs, benchmark, least_item_words)
+        most = report.agg(F.sum("n_documents")).first()[0]
+        examples = [row.item_id for row in report.orderBy(F.desc("n_documents"), "item_id").take(5)]
+        _log.warning(
+            "%d benchmark items of under %d words remove nothing; they would have hit documents"
+            " %d times, first of all items %s", few, least_item_words, most, examples,
+        )
+    scanned = decontaminate.scan(docs, benchmark.where(words >= least_item_words))
     return decontaminate.remove_documents(scanned, docs.columns)
 
 
