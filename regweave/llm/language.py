@@ -5,24 +5,25 @@ cut into chunks, each chunk is compressed with every dictionary, and the sizes a
 the smallest sum wins. Where the runner-up is nearly as small the answer is marked as not
 confident. Documents are scored where they are read; nothing is shuffled.
 
-Fitting reads at most ``max_rows`` training rows for each language, drawn by a hash of the
-text, and takes one slice of each. The model is ``dictionary_bytes`` for each language.
+Fitting reads at most ``max_rows`` different training texts for each language, drawn by a hash
+of the text, and takes one slice of each, whole slices up to ``dictionary_bytes``. So all
+languages with enough text have dictionaries of about the same size, whatever their script.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regweave.llm.common import LOWER_TABLE, append_columns
+from regweave.llm.common import LOWER_TABLE, append_columns, small_side
 
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _CHUNK = 1 << 10
 _LEVEL = 6
 
@@ -55,22 +56,25 @@ def fit(
     lang: str = "lang",
     max_rows: int = 400,
     slice_chars: int = 512,
-    dictionary_bytes: int = 256 << 10,
+    dictionary_bytes: int = 192 << 10,
 ) -> Languages:
     """Dictionaries from rows with text and language; ``use`` says which rows may be used.
 
-    One row per language, and its sampled slices, pass through the driver. A language is
-    drawn with a probability that makes ``4 * max_rows`` rows likely, of which the
-    ``max_rows`` with the smallest hashes are used; a rare language keeps all its rows.
+    One row per language, and its sampled slices, pass through the driver. Texts are drawn
+    with a probability that makes ``4 * max_rows`` different ones likely in each language, of
+    which the ``max_rows`` with the smallest hashes are used; a rare language keeps all its
+    texts, however often they are repeated.
     """
     training = docs if use is None else docs.where(use)
     training = training.select(F.col(text).alias("t"), F.col(lang).alias("l")).where(
         "l is not null and t is not null and t != ''"
     )
-    counts = training.groupBy("l").agg(F.count(F.lit(1)).alias("n"))
-    draw = F.pmod(F.xxhash64("t"), F.lit(1 << 20))
-    drawn = training.join(F.broadcast(counts), "l").where(
-        draw < F.least(F.lit(1.0), 4.0 * max_rows / F.col("n")) * (1 << 20)
+    counts = training.groupBy("l").agg(
+        F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("t")).alias("texts")
+    )
+    draw = F.shiftrightunsigned(F.xxhash64("t"), 2)
+    drawn = training.join(small_side(counts, "training-languages"), "l").where(
+        draw < F.least(F.lit(1.0), 4.0 * max_rows / F.col("texts")) * float(1 << 62)
     )
     # Copies of one text are one sample, and add nothing to a dictionary.
     place = F.pmod(F.xxhash64("t", F.lit(1)), F.greatest(F.length("t") - slice_chars, F.lit(0)) + 1)
@@ -83,9 +87,13 @@ def fit(
         found[row["l"]].append((row["h"], row["s"]))
     dictionaries = {}
     for name, rows in found.items():
-        chosen = [s for _, s in sorted(rows)[:max_rows]]
-        joined = "\n".join(chosen).encode().translate(LOWER_TABLE)
-        dictionaries[name] = joined[:dictionary_bytes]
+        content = b""
+        for _, sample in sorted(rows)[:max_rows]:
+            data = sample.encode().translate(LOWER_TABLE) + b"\n"
+            if len(content) + len(data) > dictionary_bytes:
+                break
+            content += data
+        dictionaries[name] = content
     return Languages(dictionaries)
 
 

@@ -25,6 +25,32 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(suffix_dedup.dedup(table(spark, sf_dir, "documents")))
 
 
+# Bytes as pairs of hexadecimal digits.
+_OP2 = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h,
+    octet_length(encode(coalesce(text, ''))) as n from documents),
+windows as (select doc_id, s, substr(h, 2 * s + 1, 200) as w
+  from (select doc_id, h, unnest(range(0, n - 99)) as s from d where n >= 100)),
+gone as (select doc_id, s
+  from (select doc_id, s, row_number() over (partition by w order by doc_id, s) as place from windows)
+  where place > 1),
+runs as (select doc_id, min(s) as b, max(s) + 100 as e
+  from (select doc_id, s, sum(fresh) over (partition by doc_id order by s) as run
+    from (select doc_id, s, case when s <= lag(s) over (partition by doc_id order by s) + 100
+            then 0 else 1 end as fresh from gone))
+  group by doc_id, run),
+pieces as (select doc_id, b, e, coalesce(lag(e) over (partition by doc_id order by b), 0) as p from runs),
+cut as (select doc_id, sum(e - b)::bigint as n_removed, count(*) as n_spans, max(e) as last,
+    string_agg(substr(h, 2 * p + 1, 2 * (b - p)), '' order by b) as kept
+  from pieces join d using (doc_id) group by doc_id)
+select doc_id, n::bigint as n_bytes, coalesce(n_removed, 0) as n_removed,
+  coalesce(n_spans, 0) as n_spans,
+  sha256(unhex(case when last is null then h else kept || substr(h, 2 * last + 1) end))
+    as kept_sha256
+from d left join cut using (doc_id)
+"""
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.report(decontaminate.scan(docs, table(spark, sf_dir, "benchmark")))
@@ -152,6 +178,32 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
 
+# Components of different sets; documents with equal sets are one node.
+_OP10 = rf"""
+with recursive d as (select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), {_AZ}), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select doc_id, case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+    else list_distinct([array_to_string(w[i : i + 3], ' ') for i in range(1, len(w) - 2)]) end as g
+  from d),
+k as (select doc_id, len(g) as n, g, case when len(g) > 0
+    then sha256(array_to_string(list_sort(g), chr(10))) end as class from s),
+c as (select class, min(doc_id) as best, any_value(g) as g, any_value(n) as n
+  from k where class is not null group by class),
+t as (select class, n, unnest(g) as shingle from c),
+pairs as (select x.class as a, y.class as b
+  from t x join t y on x.shingle = y.shingle and x.class < y.class
+  group by x.class, y.class, x.n, y.n
+  having 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+links as (select a, b from pairs union all select b, a from pairs),
+reached as (select class as node, class as root from c
+  union select links.b, reached.root from reached join links on links.a = reached.node),
+components as (select node as class, min(best) as component_id
+  from reached join c on c.class = reached.root group by node)
+select doc_id, n::bigint as n_shingles, coalesce(component_id, doc_id) as component_id
+from k left join components using (class)
+"""
+
+
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("lang", "text")
     found, words = collocations.phrases(docs)
@@ -217,9 +269,11 @@ QUERIES = {
     "op13_conversations": op13_conversations,
 }
 ORACLES = {
+    "op2_suffix_dedup": _OP2,
     "op3_decontaminate": _OP3,
     "op5_exact_dedup": _OP5,
     "op6_warc": _OP6,
     "op8_mix": _OP8,
+    "op10_jaccard": _OP10,
     "op11_collocations": _OP11,
 }

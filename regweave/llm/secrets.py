@@ -45,11 +45,16 @@ _RUNS = tuple(re.compile(r) for r in (r"[0-9a-f]{20,}", r"[0-9A-F]{20,}", r"[A-Z
 ALLOWED = re.compile(
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"  # UUID
     r"|sha(?:1|256|384|512)[-:=][A-Za-z0-9+/=]+"  # published digests
-    r"|https?://[^\s\"'<>]+"  # addresses
+    r"|(?<=://)[A-Za-z0-9.:-]+(?=[/?#\s\"'<>]|$)|(?<=@)[A-Za-z0-9.-]+"  # hosts of addresses
     r"|(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]*(?:EXAMPLE|example|placeholder|PLACEHOLDER|xxxx|XXXX)[A-Za-z0-9+/=_-]*"
     r"|0123456789abcdef|ABCDEFGHIJKLMNOPQRSTUVWXYZ|abcdefghijklmnopqrstuvwxyz"
 )
 
+#: Addresses. Their paths and queries are cut at these signs, so that a key in one of them is
+#: judged by itself and the words around it are not.
+_ADDRESS = re.compile(r"https?://[^\s\"'<>]+")
+_CUTS = re.compile(r"[^/=+]+")
+
 _SEPARATORS = re.compile(r"[-_/=+]+")
 #: A part of a name: a number, a word in one case or in camel case, with few digits at an end.
 _WORDLIKE = re.compile(
@@ -142,20 +147,40 @@ def entropy_spans(text: str) -> list[tuple[int, int, int]]:
     """High-entropy spans that no allow-listed text overlaps.
 
     ``name=`` in front of a value of at least a window is no part of the candidate. A
-    candidate that consists of three or more word-like parts is a name and has no spans.
+    candidate that consists of three or more word-like parts is a name and has no spans. In an
+    address each part of the path and the query is a candidate of its own.
     """
     found = []
+    addresses = [m.span() for m in _ADDRESS.finditer(text)] if "://" in text else []
+    at = 0
     for candidate in _CANDIDATE.finditer(text):
-        offset = candidate.start() + _value_start(candidate[0])
-        run = text[offset : candidate.end()]
-        found += [(offset + s, offset + e, 3) for s, e in _windows(run)]
+        start = candidate.start()
+        while at < len(addresses) and addresses[at][1] <= start:
+            at += 1
+        if at < len(addresses) and addresses[at][0] <= start:
+            runs = [(start + m.start(), m[0]) for m in _CUTS.finditer(candidate[0])]
+        else:
+            skip = _value_start(candidate[0])
+            runs = [(start + skip, candidate[0][skip:])]
+        for offset, run in runs:
+            if len(run) >= WINDOW:
+                found += [(offset + s, offset + e, 3) for s, e in _windows(run)]
     if not found:
         return []
-    covers = [m.span() for m in ALLOWED.finditer(text)]
-    return [
-        span for span in found
-        if not any(s < span[1] and span[0] < e for s, e in covers)
-    ]
+    return _uncovered(found, [m.span() for m in ALLOWED.finditer(text)])
+
+
+def _uncovered(
+    spans: list[tuple[int, int, int]], covers: list[tuple[int, int]]
+) -> list[tuple[int, int, int]]:
+    """The spans that no cover overlaps. Both are disjoint and in order; one pass over both."""
+    left, i = [], 0
+    for span in spans:
+        while i < len(covers) and covers[i][1] <= span[0]:
+            i += 1
+        if i == len(covers) or covers[i][0] >= span[1]:
+            left.append(span)
+    return left
 
 
 def _listed(spans: list[tuple[int, int, int]]) -> str:

@@ -4,8 +4,10 @@ import itertools
 import math
 import random
 import re
+import time
 
 import brute
+import license_lines
 import pytest
 
 from check_oracle import compare
@@ -64,6 +66,26 @@ def test_license_rules_and_suppression(make):
             assert not inside or other.priority < d.priority
 
 
+def test_license_lines(make):
+    cases = license_lines.cases()
+    assert len(cases) >= 150
+    docs = make([(i, text) for i, (_, text) in enumerate(cases)])
+    got = {r.doc_id: r.labels for r in licenses.report(licenses.scan(docs)).collect()}
+    wrong = [(text, labels, got[i]) for i, (labels, text) in enumerate(cases) if got[i] != ",".join(labels)]
+    assert not wrong, wrong
+
+
+def test_time_grows_with_the_number_of_detections(make):
+    def seconds(count):
+        docs = make([(1, "under the mit license " * count)])
+        start = time.time()
+        assert licenses.report(licenses.scan(docs)).first().n_base == count
+        return time.time() - start
+
+    seconds(100)
+    assert seconds(16_000) < 8 * seconds(4000) + 2
+
+
 def test_license_scan_is_native_and_moves_nothing(make, plan):
     text = plan(licenses.report(licenses.scan(make([(1, "x")]))))
     assert "Exchange" not in text and "Python" not in text and "Arrow" not in text
@@ -103,20 +125,31 @@ def samples(pattern):
 
 
 def test_license_matches_contain_cue_and_keyword():
+    """Every form of a context has its cue and every form of a name its keyword, so every form of
+    a name in a context has both."""
+    for kind, cue, context, *_ in licenses._CONTEXTS:
+        for text in samples(context.replace("{name}", "x").replace("{spdx}", "x")):
+            assert cue in text, (kind, text)
+    for label, keyword, *forms in licenses._NAMES:
+        for form in filter(None, forms):
+            assert all(keyword in text for text in samples(form)), label
     for rule in licenses.rules():
-        for text in samples(rule["pattern"]):
-            assert re.search(rule["pattern"], text), text
-            assert rule["cue"] in text and rule["keyword"] in text, (rule["rule"], text)
+        if rule["rule"].startswith(("base", "address", "text")):
+            for text in samples(rule["pattern"]):
+                assert rule["cue"] in text and rule["keyword"] in text, (rule["rule"], text)
+                assert re.search(rule["pattern"], text), text
+    assert all(re.compile(rule["pattern"]) for rule in licenses.rules())
 
 
 def test_license_gate_drops_no_detection(make, monkeypatch):
     listed = licenses.rules()
-    # Every form of each name, tag and sentence, and one match of every rule.
-    texts = {t for rule in listed if rule["rule"].startswith(("tag", "text"))
-             for t in samples(rule["pattern"])}
-    texts |= {f"licensed under {t}" for label, _, name, _ in licenses._NAMES if name
-              for t in samples(name)}
-    texts |= {samples(rule["pattern"])[0] for rule in listed}
+    # One match of every address, sentence and tag, and of every name in one context; all forms
+    # of all rules are held against cue and keyword above.
+    texts = {samples(rule["pattern"])[0] for rule in listed
+             if rule["rule"].startswith(("tag", "text", "address"))}
+    for _, _, name, spdx in licenses._NAMES:
+        texts |= {f"licensed under the {samples(name)[-1]} license"} if name else set()
+        texts |= {f"spdx license identifier mit or {samples(spdx)[-1]}"} if spdx else set()
     texts |= {"SPDX-License-Identifier: BSL-1.0", "SPDX-License-Identifier: PSF-2.0",
               "licensed under Creative Commons Attribution 4.0"}
     pairs = list(enumerate(sorted(texts)))
@@ -202,8 +235,87 @@ def test_keys_with_separators_keep_their_spans():
         assert secrets.entropy_spans(f"see {name} there") == []
 
 
+def test_keys_in_addresses_are_found_and_addresses_are_not():
+    random.seed(4)
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for before, after in [
+        ("https://hooks.example.com/services/T00A/B00B/", ""), ("https://api.site.org/v1/call?key=", "&q=all"),
+        ("http://x.io/", "/download/archive"), ("https://cdn.site.net/a-long-folder-name/", "."),
+    ]:
+        found = 0
+        for _ in range(300):
+            key = "".join(random.choices(alnum, k=32))
+            text = f"see {before}{key}{after} now"
+            start = text.index(key)
+            found += any(s < start + 32 and start < e for s, e, _ in secrets.entropy_spans(text))
+        assert found > 270, before
+    for address in [
+        "https://en.wikipedia.org/wiki/Supervised_learning_and_other_methods_of_this_kind",
+        "https://example.com/2024/05/17/a-long-title-of-a-post-about-nothing-in-particular/index.html",
+        "https://a-very-long-host-name-0123456789-abcdefgh.eu-west-1.compute.amazonaws.com/path/to/it",
+        "https://github.com/some-organisation/AnotherRepositoryName/blob/main/src/java/org/Thing2.java",
+    ]:
+        assert secrets.entropy_spans(f"see {address} there") == [], address
+
+
+def test_spans_equal_brute_force(spark, make, awkward):
+    random.seed(6)
+    alphabet = "ABCdef0123456789/+=_- .:'\"abcdefAKIAsecret="
+    texts = ["".join(random.choices(alphabet, k=random.randrange(5, 90))) for _ in range(150)]
+    texts += ["api_key: 'AKIA" + "Q" * 30 + "' " + "ab12" * 8, "PASSWD=abcdef12 token = x.y-z=1 é"]
+    pairs = list(enumerate(texts, 300)) + awkward
+    pairs += [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    for _, text in pairs:
+        assert secrets.base_spans(text or "") == brute.secret_spans(text or "")
+    spans = [(i, i + 3, 3) for i in range(0, 4000, 4)]
+    covers = [(i, i + 5) for i in range(0, 4100, 41)]
+    want = [s for s in spans if not any(a < s[1] and s[0] < b for a, b in covers)]
+    assert secrets._uncovered(spans, covers) == want
+
+
+def time_of(call, *args):
+    start = time.perf_counter()
+    call(*args)
+    return time.perf_counter() - start
+
+
+def test_time_grows_with_the_text_and_no_more():
+    random.seed(8)
+    key = "q7Zp2LxV9tRw4KsB8mYd3NfH"
+    text = f"x {key} sha256-{key} https://a.b/{key} " * 1500
+    secrets.entropy_spans(text)
+    assert time_of(secrets.entropy_spans, text * 4) < 10 * time_of(secrets.entropy_spans, text) + 0.2
+    lexicon = toxicity.Lexicon({"trash": 1.0, "idiot": 2.0})
+    text = "the trash can is no idiot and trash cans are not trash " * 3000
+    lexicon.features(text)
+    assert time_of(lexicon.features, text * 4) < 10 * time_of(lexicon.features, text) + 0.2
+
+
 # Toxicity
 
+def test_hits_in_exceptions_equal_brute_force():
+    random.seed(3)
+    for _ in range(300):
+        hits = {random.randrange(60): 1.0 for _ in range(12)}
+        spans = sorted((s := random.randrange(60), s + random.randrange(9)) for _ in range(5))
+        want = {at for at in hits if not any(s <= at <= e for s, e in spans)}
+        assert set(toxicity._outside(hits, spans)) == want
+
+
+def test_scores_equal_brute_force(spark, awkward):
+    lexicon = toxicity.fit(
+        spark.read.parquet(f"{SMALL}/documents.parquet"), spark.read.parquet(f"{SMALL}/labels.parquet")
+    )
+    texts = [t or "" for _, t in awkward if len(t or "") < 20_000]
+    texts += [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").limit(150).collect()]
+    texts += ["You 1d10t, take the trash can", "trash", "m0r0n" * 3, "idiot idiots moronic", "x" * 50]
+    for text in texts:
+        total, dense = lexicon.features(text)
+        want = brute.toxicity(toxicity.fold(text), lexicon.weights, lexicon.exceptions)
+        assert total == pytest.approx(want)
+        assert dense == pytest.approx(100 * want / (toxicity.fold(text).count(" ") + 51))
+
+
 def test_folding_and_exceptions():
     lexicon = toxicity.Lexicon({"idiot": 2.0, "mor*": 1.0, "trash": 1.5, "moron": 3.0})
     assert lexicon.features("You 1D10T!")[0] == 2.0
@@ -278,6 +390,41 @@ def test_language_fit_ignores_unusable_rows(make, awkward):
     assert language.fit(make([])).dictionaries == {}
 
 
+def test_sizes_equal_brute_force(make, awkward):
+    """Chunks compressed one by one with a dictionary made anew for each."""
+    texts = {"aa": b"alpha beta gamma delta " * 60, "bb": "été ça ñ ü 中文 one two three ".encode() * 40}
+    pairs = awkward + [(60, "²"), (61, "½ ①"), (62, "½ a"), (63, "Ω"), (64, "١٢"), (65, "_")]
+    got = {
+        (r.doc_id, r._key): (r.lang_pred, r.score)
+        for r in language.identify(make(pairs), language.Languages(texts)).collect()
+    }
+    for n, (doc_id, text) in enumerate(pairs):
+        assert got[doc_id, n] == pytest.approx(brute.smallest_language(text, texts)), text
+    assert [got[i, len(awkward) + i - 60][0] == "und" for i in range(60, 66)] == [
+        True, True, False, False, True, True]
+
+
+def test_a_repeated_text_does_not_empty_a_dictionary(spark):
+    rows = [(i, "es", "el mismo texto una y otra vez") for i in range(20_000)]
+    rows += [(30_000 + i, "en", f"some different words, number {i * 7919}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(4)
+    found = language.fit(docs, max_rows=50).dictionaries
+    assert list(found) == ["es", "en"]
+    assert found["es"] == b"el mismo texto una y otra vez\n" and found["en"].count(b"\n") == 50
+
+
+def test_dictionaries_are_filled_by_whole_slices_to_the_same_size(spark):
+    rows = []
+    for i in range(120):
+        rows.append((i, "en", " ".join(f"word{i * j}" for j in range(120))))
+        rows.append((1000 + i, "zh", "".join(chr(0x4E00 + (i * 37 + j * 11) % 5000) for j in range(900))))
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    found = language.fit(docs, dictionary_bytes=30_000).dictionaries
+    sizes = {name: len(content) for name, content in found.items()}
+    assert all(30_000 - 1600 < size <= 30_000 for size in sizes.values()), sizes
+    assert all(content.decode().endswith("\n") for content in found.values())
+
+
 # Decontamination
 
 @pytest.fixture
