@@ -11,8 +11,8 @@ its end, extended to the left, meet. All phrases of a length are extended at onc
    step moves them. A text that is longer than a shard is cut inside a piece with three words of
    overlap, and the overlap is counted once more with a negative sign.
 2. Length by length, shards send the hashes and counts of their phrases to be summed and get
-   back those with at least ``least`` occurrences in all shards (``regweave.llm.packed``). Only
-   phrases whose beginning and end have passed are extended. Equal hashes of different phrases
+   back a bit for each: whether it has at least ``least`` occurrences in all shards
+   (``regweave.llm.packed``). Only phrases whose beginning and end have passed are extended. Equal hashes of different phrases
    could only let more pass.
 3. Shards send what passed as text, and exact sums by text are the frequencies.
 4. Scores need the frequencies of the parts of a phrase, joined with frequent parts split, and
@@ -26,7 +26,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -34,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from regweave.llm.common import LOWER_TABLE, as_bytes, attach_groups, small_side, stored
-from regweave.llm.packed import PACKED, pack_counted, parts_for, positions, repeated
+from regweave.llm.packed import PACKED, answered, frequent, pack_counted, parts_for
 from regweave.storage import scratch_directory
 
 _LONGEST = 4
@@ -219,25 +218,28 @@ def _index(table: pa.Table) -> PhraseIndex:
     return PhraseIndex(words, np.frombuffer(raw, width), seed)
 
 
-def _passed(answers: pa.Table, length: int) -> np.ndarray:
-    own = answers.filter(pa.compute.equal(answers.column("length"), length))
-    return np.sort(np.frombuffer(b"".join(own.column("keys").to_pylist()), np.uint64))
-
-
-def _levels(table: pa.Table, answers: pa.Table, lengths: int) -> Iterator[PhraseIndex]:
+def _levels(
+    table: pa.Table, answers: pa.Table, lengths: int, parts: int
+) -> Iterator[PhraseIndex]:
     """The index at each length, reduced to the phrases that passed."""
+    bits: dict[int, dict[int, bytes]] = {}
+    for length, part, own in zip(
+        *[answers.column(name).to_pylist() for name in ("length", "part", "bits")]
+    ):
+        bits.setdefault(length, {})[part] = own
     index = _index(table)
     for length in range(1, lengths + 1):
         if length > 1:
             index.extend()
-        index.keep(positions(_passed(answers, length), index.hashes) >= 0)
+        keys, place = np.unique(index.hashes, return_inverse=True)
+        index.keep(answered(keys, parts, bits.get(length, {}))[place])
         yield index
 
 
 def _packed(table: pa.Table, index: PhraseIndex, parts: int) -> pa.RecordBatch:
-    order = np.argsort(index.hashes)
-    shard = table.column("shard")[0].as_py()
-    return pack_counted(shard, index.hashes[order], index.counts[order], parts)
+    keys, place = np.unique(index.hashes, return_inverse=True)
+    counts = np.bincount(place, index.counts, len(keys)).astype(np.int64)
+    return pack_counted(table.column("shard")[0].as_py(), keys, counts, parts)
 
 
 def _first_keys(parts: int):
@@ -251,10 +253,10 @@ def _first_keys(parts: int):
 
 
 def _keys(length: int, parts: int):
-    """Keys of the phrases of this length, from an index row and the shorter keys that passed."""
+    """Keys of the phrases of this length, from an index row and the answers to shorter ones."""
 
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
-        for index in _levels(table, answers, length - 1):
+        for index in _levels(table, answers, length - 1, parts):
             pass
         index.extend()
         return pa.Table.from_batches([_packed(table, index, parts)])
@@ -265,7 +267,7 @@ def _keys(length: int, parts: int):
 _PHRASES = "lang string, phrase string, width int, f long"
 
 
-def _texts(longest: int):
+def _texts(longest: int, parts: int):
     """What passed, as text with the shard's counts."""
 
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
@@ -274,7 +276,7 @@ def _texts(longest: int):
         words = np.array(table.column("words")[0].as_py().split(b" ")[1:], object)
         phrases, widths, counts = [], [], []
         own = ends = None
-        for index in _levels(table, answers, longest):
+        for index in _levels(table, answers, longest, parts):
             if index.length == 1:
                 own = ends = words[index.chosen]
             else:
@@ -343,13 +345,13 @@ def phrases(
             keys = shards.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(
                 _keys(length, parts), PACKED
             )
-        passed = repeated(keys, least).select(
-            F.col("batch").alias("shard"), F.lit(length).alias("length"), "keys"
+        passed = frequent(keys, least).select(
+            F.col("batch").alias("shard"), F.lit(length).alias("length"), "part", "bits"
         )
         passed = stored(passed, f"phrase-keys-{length}")
         answers = passed if answers is None else answers.unionByName(passed)
     found = shards.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(
-        _texts(longest), _PHRASES
+        _texts(longest, parts), _PHRASES
     )
     counted = found.groupBy("lang", "phrase", "width").agg(F.sum("f").alias("f"))
     words = shards.groupBy("lang").agg(F.sum(F.col("n") * F.col("sign")).alias("n"))

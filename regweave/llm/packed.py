@@ -62,7 +62,7 @@ def pack_counted(
     )
 
 
-def _add_up(table: pa.Table, least: int) -> pa.Table:
+def _add_up(table: pa.Table) -> pa.Table:
     batches = table.column("batch").to_pylist()
     keys = [np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()]
     counts = [np.frombuffer(c, np.uint32) for c in table.column("counts").to_pylist()]
@@ -73,7 +73,7 @@ def _add_up(table: pa.Table, least: int) -> pa.Table:
     found = {"batch": [], "keys": [], "totals": []}
     for i, batch in enumerate(batches):
         own = totals[cuts[i] : cuts[i + 1]]
-        repeated = own >= least
+        repeated = own > 1
         if repeated.any():
             found["batch"].append(batch)
             found["keys"].append(keys[i][repeated].tobytes())
@@ -87,13 +87,46 @@ def _add_up(table: pa.Table, least: int) -> pa.Table:
     )
 
 
-def repeated(packed: DataFrame, least: int = 2) -> DataFrame:
-    """Rows (batch, keys, totals) of the keys that occur at least so often over all batches."""
+def repeated(packed: DataFrame) -> DataFrame:
+    """Rows (batch, keys, totals) of the keys that occur at least twice over all batches."""
     return packed.groupBy("part").applyInArrow(
-        lambda table: _add_up(table, least), "batch long, keys binary, totals binary"
+        _add_up, "batch long, keys binary, totals binary"
     )
 
 
+def frequent(packed: DataFrame, least: int) -> DataFrame:
+    """Rows (batch, part, bits): of the keys that a batch sent to a part, in their order, those
+    that occur at least so often over all batches. A batch that can make its keys again needs
+    no more than a bit for each."""
+
+    def answer(table: pa.Table) -> pa.Table:
+        keys = [np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()]
+        counts = [np.frombuffer(c, np.uint32) for c in table.column("counts").to_pylist()]
+        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+        enough = np.bincount(place, np.concatenate(counts), len(distinct)) >= least
+        cuts = np.cumsum([len(k) for k in keys])[:-1]
+        bits = [np.packbits(own).tobytes() for own in np.split(enough[place], cuts)]
+        return pa.table(
+            [table.column("batch"), table.column("part"), pa.array(bits, pa.binary())],
+            names=["batch", "part", "bits"],
+        )
+
+    return packed.groupBy("part").applyInArrow(answer, "batch long, part int, bits binary")
+
+
+def answered(keys: np.ndarray, parts: int, answers: dict[int, bytes]) -> np.ndarray:
+    """Which of a batch's distinct keys, in order, the bits of its parts name."""
+    bits = parts.bit_length() - 1
+    bounds = np.arange(1, parts, dtype=np.uint64) << np.uint64(64 - bits)
+    cuts = np.concatenate([[0], np.searchsorted(keys, bounds), [len(keys)]])
+    found = np.zeros(len(keys), bool)
+    for part, packed in answers.items():
+        own = slice(cuts[part], cuts[part + 1])
+        raw = np.frombuffer(packed, np.uint8)
+        found[own] = np.unpackbits(raw, count=int(cuts[part + 1] - cuts[part])).astype(bool)
+    return found
+
+
 def unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """A batch's repeated keys in order, and their total counts."""
     keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint64)

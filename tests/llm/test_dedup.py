@@ -186,7 +186,7 @@ def solved_in_one_process(pairs, length=100, hot=2000):
     })
     keys = suffix_dedup._batch_keys(length, 64)(table)
     found = pa.concat_tables([
-        packed._add_up(keys.filter(pa.compute.equal(keys.column("part"), part)), 2)
+        packed._add_up(keys.filter(pa.compute.equal(keys.column("part"), part)))
         for part in set(keys.column("part").to_pylist())
     ])
     rows_ = suffix_dedup._batch_intervals(length, 64, hot)(table, found)
