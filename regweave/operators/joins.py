@@ -115,13 +115,15 @@ def measure(rights: Sequence[Right]) -> None:
     if not candidates:
         return
     measured = [right.df if right.bound is None else right.bound for right in candidates]
+    # One aggregate over all tables: one exchange, where one for each table would cost a stage
+    # for each. A table without rows has no sum and stays small.
     sizes = [
-        df.agg(F.lit(i).alias("i"), F.sum(_row_bytes(df)).alias("bytes"))
+        df.select(F.lit(i).alias("i"), _row_bytes(df).alias("bytes"))
         for i, df in enumerate(measured)
     ]
     limit = BROADCAST_EXPANSION * _broadcast_limit(measured[0].sparkSession)
-    for i, size in reduce(DataFrame.unionAll, sizes).collect():
-        candidates[i].small = (size or 0) <= limit
+    for i, size in reduce(DataFrame.unionAll, sizes).groupBy("i").agg(F.sum("bytes")).collect():
+        candidates[i].small = size <= limit
         candidates[i].misjudged = not candidates[i].small
 
 
@@ -145,11 +147,11 @@ def hot_keys(sides: Sequence[tuple[DataFrame, str]]) -> list[dict[object, int]]:
         return F.pmod(F.hash(F.col(key)), F.lit(partitions))
 
     loads = [
-        df.groupBy(partition(key).alias("p")).agg(rows).select(F.lit(i).alias("side"), "p", "n")
+        df.select(F.lit(i).alias("side"), partition(key).alias("p"))
         for i, (df, key) in enumerate(sides)
     ]
     sizes: list[dict[int, int]] = [{} for _ in sides]
-    for side, p, n in reduce(DataFrame.unionAll, loads).collect():
+    for side, p, n in reduce(DataFrame.unionAll, loads).groupBy("side", "p").agg(rows).collect():
         sizes[side][p] = n
     limits = [HOT_PARTITIONS * sum(size.values()) / partitions for size in sizes]
     counts: dict[str, list[DataFrame]] = {}
@@ -244,12 +246,9 @@ def worth_counting(sides: Sequence[DataFrame]) -> list[bool]:
     """Whether tables are so large that a hot key matters: by Spark's estimate, else by their
     rows, counted for all of them in one job."""
     large = [_estimate(df) >= SPREAD_BYTES for df in sides]
-    counts = [
-        df.agg(F.lit(i).alias("i"), F.count(F.lit(1)).alias("n"))
-        for i, df in enumerate(sides) if not large[i]
-    ]
+    counts = [df.select(F.lit(i).alias("i")) for i, df in enumerate(sides) if not large[i]]
     if counts:
-        for i, n in reduce(DataFrame.unionAll, counts).collect():
+        for i, n in reduce(DataFrame.unionAll, counts).groupBy("i").count().collect():
             large[i] = n >= SPREAD_ROWS
     return large
 
