@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from regweave.storage import scratch_directory
 
 _UPPER, _LOWER = string.ascii_uppercase, string.ascii_lowercase
+_PIECE_BYTES = 4 << 20
 _WORD_BYTES = frozenset(string.digits.encode() + _LOWER.encode()) | frozenset(range(128, 256))
 
 #: Byte tables. UTF-8 bytes of non-ASCII characters are all above 0x7F and stay.
@@ -60,8 +61,9 @@ def append_columns(
 ) -> DataFrame:
     """``rows`` with columns computed batch by batch in Python; nothing is shuffled.
 
-    A new column takes the place of one of the same name. ``compute`` gets an Arrow batch
-    and returns one array for each column of ``ddl``.
+    A new column takes the place of one of the same name. ``compute`` gets an Arrow batch, cut
+    to a few MB as it makes several times its bytes of it, and returns one array for each
+    column of ``ddl``.
     """
     added = T._parse_datatype_string(ddl)
     taken = {field.name.lower() for field in added}
@@ -70,8 +72,10 @@ def append_columns(
     schema = T.StructType([rows.schema[name] for name in kept] + list(added))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            step = max(1, whole.num_rows * _PIECE_BYTES // max(1, whole.nbytes))
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
                 old = [batch.column(batch.schema.get_field_index(name)) for name in kept]
                 yield pa.RecordBatch.from_arrays(old + compute(batch), names=names)
 
