@@ -2,8 +2,10 @@ import csv
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from regweave.schemas import text_schema
+from regweave.sinks import tables
 from regweave.sinks.tables import export_csv, export_single_csv, write_table, write_table_once
 from regweave.sources.delimited import read_delimited
 from regweave.storage import is_complete, scratch_directory
@@ -63,6 +65,29 @@ def test_single_csv_of_nothing_has_a_header(spark, tmp_path):
     assert target.read_text() == "a,b\n"
 
 
+def test_single_csv_is_written_and_put_together_by_many_tasks(spark, tmp_path, monkeypatch):
+    written = []
+
+    def spy(df, *args, **options):
+        written.append(df.rdd.getNumPartitions())
+        export_csv(df, *args, **options)
+
+    # Pieces end inside rows and inside characters, and hold several short files.
+    monkeypatch.setattr(tables, "_PIECE_BYTES", 50)
+    monkeypatch.setattr(tables, "_BLOCK_BYTES", 7)
+    monkeypatch.setattr(tables, "export_csv", spy)
+    rows = [(str(i), "ã€ \"x\", y" * (i % 9)) for i in range(60)]
+    df = spark.createDataFrame(rows, AB).repartitionByRange(12, F.col("a").cast("int"))
+    target = tmp_path / "with space" / "out.csv"
+    target.parent.mkdir()
+    export_single_csv(df.sortWithinPartitions(F.col("a").cast("int")), str(target))
+    with open(target, newline="", encoding="utf-8") as file:
+        assert list(csv.reader(file)) == [["a", "b"], *map(list, rows)]
+    assert max(written) == 12
+    assert os.listdir(target.parent) == ["out.csv"]
+    assert spark.read.option("header", True).csv(str(target)).count() == 60
+
+
 def test_empty_text_comes_back_as_null(spark, tmp_path):
     path = str(tmp_path / "out")
     export_csv(spark.createDataFrame([("", "x")], AB), path)
