@@ -39,6 +39,8 @@ _RAW_OPTIONS = {
     "sep": ";", "encoding": "ISO-8859-1", "quoteAll": "true", "escape": '"',
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
+# Published releases are compressed. A compressed file is read by one task, so it is kept short.
+_RELEASE_FILES = {"compression": "gzip", "maxRecordsPerFile": "250000"}
 _LINE_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "note"]
 
 
@@ -77,17 +79,19 @@ def single_csv_export(spark, sf_dir):
 def _write_raw_release(spark: SparkSession, sf_dir: str, root: str) -> RawRelease:
     """Raw files shaped like the publisher's: families cut into numbered directories."""
     found = registry_tables(spark, sf_dir)
+    options = _RAW_OPTIONS | _RELEASE_FILES
 
     def write(name: str) -> None:
         df, dataset = found[name], DATASETS[name]
         if dataset.prefix is None:
-            df.write.option("header", "true").option("escape", '"').csv(f"{root}/{name}")
+            files = df.write.option("header", "true").option("escape", '"')
+            files.options(**_RELEASE_FILES).csv(f"{root}/{name}")
         elif dataset.split:
             lower = F.xxhash64("cnpj_basico") < 0
             for number, share in enumerate((df.filter(lower), df.filter(~lower))):
-                share.write.options(**_RAW_OPTIONS).csv(f"{root}/{dataset.prefix}{number}")
+                share.write.options(**options).csv(f"{root}/{dataset.prefix}{number}")
         else:
-            df.write.options(**_RAW_OPTIONS).csv(f"{root}/{dataset.prefix}")
+            df.write.options(**options).csv(f"{root}/{dataset.prefix}")
 
     run_together(spark, write, list(found))
     return RawRelease(root=root, state_registry=f"{root}/jucees")
@@ -158,7 +162,7 @@ def restaged_slice(spark, sf_dir):
         if dataset.prefix is not None:
             rows = raw.read(spark, name)
             few = rows.filter("cnpj_ordem like '%7'") if name == "estabelecimentos" else rows
-            few.write.options(**_RAW_OPTIONS).csv(f"{root}/part/{dataset.prefix}")
+            few.write.options(**_RAW_OPTIONS, **_RELEASE_FILES).csv(f"{root}/part/{dataset.prefix}")
     staged = StagedRelease(f"{root}/staged", "2026-01", STATE)
     stage(spark, part, staged)
     remove(spark, staged.path("estabelecimentos"))

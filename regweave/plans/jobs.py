@@ -97,7 +97,9 @@ def stage(
         staged.remove(spark, name)
     if "estabelecimentos" in missing:
         cut = slice_equal(raw.read(spark, "estabelecimentos"), "uf", staged.state)
-        _write_staged(spark, cut, staged, "estabelecimentos", inputs["estabelecimentos"])
+        # In whole tables a state's rows lie together, in few files and not in every split.
+        even = isinstance(raw, NationalRelease)
+        _write_staged(spark, cut, staged, "estabelecimentos", inputs["estabelecimentos"], even)
     others = [name for name in missing if name != "estabelecimentos"]
     if others:
         _stage_reduced(spark, raw, staged, others, inputs)
@@ -135,12 +137,17 @@ def stage_national(
 
 
 def _write_staged(
-    spark: SparkSession, df: DataFrame, staged: StagedRelease, name: str, files: RawFiles
+    spark: SparkSession, df: DataFrame, staged: StagedRelease, name: str, files: RawFiles,
+    even: bool = False,
 ) -> None:
-    """The table, profiled as it is written, and then its manifest."""
+    """The table, profiled as it is written, and then its manifest. ``even`` says that its
+    partitions make no small files; otherwise all rows are moved once to even them out."""
     path, buckets = staged.path(name), staged.buckets_of(name)
-    even = df.repartition(buckets, COMPANY) if buckets else df.hint("rebalance")
-    observed = Observed(even, join_keys(name))
+    if buckets:
+        df = df.repartition(buckets, COMPANY)
+    elif not even:
+        df = df.hint("rebalance")
+    observed = Observed(df, join_keys(name))
     if buckets:
         write_bucketed(observed.df, path, COMPANY, buckets, staged.table_name(name))
     else:
@@ -174,7 +181,9 @@ def _stage_reduced(
         return table
 
     def write(name: str) -> None:
-        _write_staged(spark, reduced(name), staged, name, inputs[name])
+        # A whole table that is parquet already is copied as it lies.
+        even = isinstance(raw, NationalRelease) and name not in SLICED
+        _write_staged(spark, reduced(name), staged, name, inputs[name], even)
 
     with cached(companies.df, towns.df):
         measure([companies, towns])

@@ -1,5 +1,6 @@
 """Whole tables laid out for slices, and partner summaries kept by raw file."""
 
+import gzip
 import os
 
 import pyarrow.parquet as pq
@@ -7,11 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import registry
+from entry_queries import files as entry_files
 from regweave.plans import jobs
 from regweave.plans.enrich import build_enriched, partner_summary
 from regweave.plans.summaries import merged_summary, stage_summaries
 from regweave.schemas import COMPANY, DATASETS
-from regweave.sinks.tables import write_ordered
+from regweave.sinks.tables import write_ordered, write_table
 from regweave.sources.datasets import NationalRelease, RawRelease, StagedRelease
 
 
@@ -78,6 +80,39 @@ def test_states_are_staged_from_the_whole_tables(spark, bag, tmp_path, raw):
     assert bag(spark.read.parquet(written[0])) == bag(build_enriched(registry.frames(spark), "SP"))
 
 
+def test_states_cut_from_the_whole_tables_move_no_whole_rows(spark, plan, tmp_path, monkeypatch):
+    registry.write_extracted(tmp_path / "raw")
+    registry.write_state_registry(tmp_path / "registry.csv")
+    raw = RawRelease(str(tmp_path / "raw"), str(tmp_path / "registry.csv"))
+    national = NationalRelease(str(tmp_path / "national"), "2026-01")
+    jobs.stage_national(spark, raw, national)
+    plans = {}
+
+    def spy(df, path):
+        plans[os.path.basename(path)] = plan(df)
+        write_table(df, path)
+
+    monkeypatch.setattr(jobs, "write_table", spy)
+    jobs.stage(spark, national, StagedRelease(str(tmp_path / "staged"), "2026-01", "ES"))
+    whole = ("estabelecimentos", "jucees", "cnaes", "naturezas")
+    assert [name for name in whole if "Exchange" in plans[name]] == []
+    # Splits of raw text hold a few rows of the state each: those are still brought together.
+    jobs.stage(spark, raw, StagedRelease(str(tmp_path / "direct"), "2026-01", "ES"))
+    assert "Exchange" in plans["estabelecimentos"]
+
+
+def test_raw_releases_are_short_compressed_files(spark, bag, tmp_path, monkeypatch):
+    monkeypatch.setattr(entry_files, "registry_tables", lambda *_: registry.frames(spark))
+    monkeypatch.setitem(entry_files._RELEASE_FILES, "maxRecordsPerFile", "2")
+    raw = entry_files._write_raw_release(spark, "", str(tmp_path / "raw"))
+    parts = [path for path in (tmp_path / "raw").rglob("part-*") if path.is_file()]
+    assert {path.suffix for path in parts} == {".gz"}
+    sizes = {path: gzip.open(path).read().count(b"\n") for path in parts}
+    assert max(sizes.values()) <= 3  # two records and, in the state registry, a header
+    for name, frame in registry.frames(spark).items():
+        assert bag(raw.read(spark, name)) == bag(frame)
+
+
 def test_replaced_raw_files_reach_the_states(spark, tmp_path):
     registry.write_extracted(tmp_path / "raw")
     registry.write_state_registry(tmp_path / "registry.csv")
